@@ -69,3 +69,8 @@ def fold_of(key: Column, k: int = 5) -> Column:
 def hash_unit(key: Column) -> Column:
     """Deterministic pseudo-random order key from md5 (same in DuckDB)."""
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
+def percent_text(x: Column, digits: int = 1) -> Column:
+    """'%.1f%%' text with Python's half-even rounding (Java's formatter rounds half up)."""
+    return F.format_string(f"%.{digits}f%%", F.bround(x, digits))

@@ -1,3 +1,4 @@
 """Imports every plan module so that all queries are registered."""
 
 from pitlane.plans import q_pit  # noqa: F401
+from pitlane.plans import q_reshape  # noqa: F401
