@@ -73,4 +73,4 @@ def hash_unit(key: Column) -> Column:
 
 def percent_text(x: Column, digits: int = 1) -> Column:
     """'%.1f%%' text with Python's half-even rounding (Java's formatter rounds half up)."""
-    return F.format_string(f"%.{digits}f%%", F.bround(x, digits))
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f%%", F.bround(x, digits)))
