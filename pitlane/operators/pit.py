@@ -234,3 +234,128 @@ def bucketed_trailing(
     exprs = [fns[fn](F.col(f"_vals._v_{name}")).over(w.rowsBetween(s, e)).alias(name)
              for name, (fn, v, s, e) in aggs.items()]
     return base.select("_row", *exprs).where(F.col("_row").isNotNull()).select("_row.*", *aggs.keys())
+
+
+def _default_bucket(order_first: str) -> Column:
+    return F.trunc(F.col(order_first), "year")
+
+
+def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str, str], n: int,
+                 include_current: bool = True, full_only: bool = False, fn: str = "avg",
+                 bucket: Column | None = None) -> DataFrame:
+    """per-row mean (or `fn`) of the last `n` rows per entity.
+
+    include_current=True  -> rows between n-1 preceding and current (F3)
+    include_current=False -> rows between n preceding and 1 preceding (F4, V4)
+    full_only=True        -> NULL until the frame holds n non-null values (F5,
+                             pandas `rolling(n).mean()`).
+    `metrics` maps output name -> input column.  Skew-safe (bucketed_trailing)."""
+    s, e = (-(n - 1), 0) if include_current else (-n, -1)
+    aggs = {}
+    for out, c in metrics.items():
+        aggs[out] = (fn, c, s, e)
+        if full_only:
+            aggs[f"_cnt_{out}"] = ("count", c, s, e)
+    b = bucket if bucket is not None else _default_bucket(order[0])
+    res = bucketed_trailing(df, entity, order, aggs, bucket=b)
+    if full_only:
+        for out in metrics:
+            res = res.withColumn(out, F.when(F.col(f"_cnt_{out}") == n, F.col(out))).drop(f"_cnt_{out}")
+    return res
+
+
+def cumulative_prior(df: DataFrame, entity, order: Sequence[str], value: str, out: str = "volatility",
+                     stat: str = "stddev_samp", default: float | None = 11.0, bucket: Column | None = None) -> DataFrame:
+    """F8: statistic over ALL prior rows of the entity (rows unbounded preceding
+    to 1 preceding), e.g. sample std of points, with a default when undefined.
+
+    Unbounded frames are prefix sums: per (entity, bucket) totals (count, sum,
+    sum of squares) -> running totals over buckets (rows per entity = buckets)
+    -> joined to the rows and completed inside the bucket.  No task ever holds
+    a whole entity."""
+    ent = _cols(entity)
+    b = bucket if bucket is not None else _default_bucket(order[0])
+    x = F.col(value).cast("double")
+    base = df.withColumn("_b", b).withColumn("_x", x)
+    per_b = base.groupBy(*ent, "_b").agg(F.count("_x").alias("_n"), F.sum("_x").alias("_s"),
+                                         F.sum(F.col("_x") * F.col("_x")).alias("_ss"))
+    wb = Window.partitionBy(*ent).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_b = per_b.select(*ent, "_b", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"{c}0") for c in ("_n", "_s", "_ss")])
+    j = base.join(per_b, [*ent, "_b"], "left")
+    wi = Window.partitionBy(*ent, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    n = F.col("_n0") + F.coalesce(F.count("_x").over(wi), F.lit(0))
+    s = F.col("_s0") + F.coalesce(F.sum("_x").over(wi), F.lit(0.0))
+    ss = F.col("_ss0") + F.coalesce(F.sum(F.col("_x") * F.col("_x")).over(wi), F.lit(0.0))
+    j = j.withColumn("_N", n).withColumn("_S", s).withColumn("_SS", ss)
+    var_pop = F.greatest(F.lit(0.0), F.col("_SS") / F.col("_N") - F.pow(F.col("_S") / F.col("_N"), 2))
+    if stat == "stddev_samp":
+        v = F.when(F.col("_N") > 1, F.sqrt(var_pop * F.col("_N") / (F.col("_N") - 1)))
+    elif stat == "stddev_pop":
+        v = F.when(F.col("_N") > 0, F.sqrt(var_pop))
+    elif stat == "avg":
+        v = F.when(F.col("_N") > 0, F.col("_S") / F.col("_N"))
+    elif stat == "count":
+        v = F.col("_N")
+    else:
+        raise ValueError(stat)
+    if default is not None:
+        v = F.coalesce(v, F.lit(default))
+    return j.withColumn(out, v).drop("_b", "_x", "_n0", "_s0", "_ss0", "_N", "_S", "_SS")
+
+
+def current_last_n(df: DataFrame, entity, order: Sequence[str], metrics: dict[str, tuple[str, int]],
+                   min_rows: int = 0) -> DataFrame:
+    """per entity, mean of its latest k rows for each (column, k); a short
+    history uses what exists.  `row_number() <= kmax` becomes a WindowGroupLimit
+    (partial top-k before the shuffle), so a hot entity ships only kmax rows per
+    map task.  `min_rows` drops entities with fewer rows than that."""
+    ent = _cols(entity)
+    kmax = max(k for _, k in metrics.values())
+    w = Window.partitionBy(*ent).orderBy(*[F.col(c).desc() for c in order])
+    top = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= kmax)
+    out = top.groupBy(*ent).agg(F.count(F.lit(1)).alias("n_rows"),
+                                *[F.avg(F.when(F.col("_rn") <= k, F.col(c))).alias(name) for name, (c, k) in metrics.items()])
+    if min_rows:
+        out = out.where(F.col("n_rows") >= min_rows)
+    return out
+
+
+def team_rows_final(games: DataFrame, season_type: str | None = None) -> DataFrame:
+    """Final team rows with margin (B4 over finished matches)."""
+    return _finished_team_rows(games, "status", "game_date_et", season_type).withColumn(
+        "margin", F.col("pts_for") - F.col("pts_against"))
+
+
+def team_features_with_rest(games: DataFrame, ns: Sequence[int] = (5, 10)) -> DataFrame:
+    """F6 [definition ours; the reference queries this view without defining it]:
+    every finished team row with the mean margin of its previous n finished
+    rows (current excluded), rest days since its previous match (gap - 1) and
+    a back-to-back flag (rest = 0)."""
+    rows = team_rows_final(games)
+    order = ["game_date_et", "game_id"]
+    aggs = {f"rolling_pd_{n}": ("avg", "margin", -n, -1) for n in ns}
+    aggs["prev_date"] = ("max", "game_date_et", -1, -1)
+    res = bucketed_trailing(rows, "team_id", order, aggs, bucket=_default_bucket("game_date_et"))
+    rd = F.datediff("game_date_et", "prev_date") - 1
+    return res.select("game_id", "team_id", "opp_team_id", "is_home", "game_date_et", "margin",
+                      *[f"rolling_pd_{n}" for n in ns], rd.alias("rest_days"),
+                      F.when(rd == 0, 1).otherwise(0).alias("back_to_back"))
+
+
+def strength_of_schedule(games: DataFrame, n: int = 10) -> DataFrame:
+    """F7 [definition ours]: mean over the team's previous n matches of the
+    opponent's prior 10-match form at that match (opponent's F6 value joined on
+    match and team)."""
+    f6 = team_features_with_rest(games, ns=(10,))
+    opp = f6.select("game_id", F.col("team_id").alias("opp_team_id"), F.col("rolling_pd_10").alias("opp_form"))
+    rows = f6.select("game_id", "team_id", "opp_team_id", "game_date_et").join(opp, ["game_id", "opp_team_id"], "left")
+    res = bucketed_trailing(rows, "team_id", ["game_date_et", "game_id"],
+                            {f"rolling_sos_{n}": ("avg", "opp_form", -n, -1)}, bucket=_default_bucket("game_date_et"))
+    return res.select("game_id", "team_id", "game_date_et", f"rolling_sos_{n}")
+
+
+def time_decay_weight(df: DataFrame, date: str, as_of, half_life_days: float = 365.0) -> DataFrame:
+    """exp(-ln 2 * age / half_life), age in days before `as_of` (a Column or date text)."""
+    a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    age = F.datediff(a, F.col(date))
+    return df.withColumn("age_days", age).withColumn("weight", F.exp(-F.log(F.lit(2.0)) * age / half_life_days))

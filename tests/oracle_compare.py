@@ -51,6 +51,29 @@ def _norm(v):
     return v
 
 
+def _coarse(v):
+    if isinstance(v, float):
+        return round(v, 3)
+    if isinstance(v, tuple):
+        return tuple(_coarse(x) for x in v)
+    return v
+
+
+def _close(x, y):
+    if isinstance(x, float) and isinstance(y, float):
+        return math.isclose(x, y, rel_tol=1e-9, abs_tol=2e-6)
+    if isinstance(x, tuple) and isinstance(y, tuple):
+        return len(x) == len(y) and all(_close(p, q) for p, q in zip(x, y))
+    return x == y
+
+
+def _approx_equal(a, b):
+    """Rows equal up to float tolerance (last-bit differences around a rounding tie)."""
+    ka = sorted(a, key=lambda r: _key(_coarse(r)))
+    kb = sorted(b, key=lambda r: _key(_coarse(r)))
+    return all(_close(x, y) for x, y in zip(ka, kb))
+
+
 def _key(row):
     return tuple((x is None, repr(x)) for x in row)
 
@@ -71,6 +94,8 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols, max_show=5):
     sa, sb = set(map(repr, a)), set(map(repr, b))
     only_a = [r for r in a if repr(r) not in sb]
     only_b = [r for r in b if repr(r) not in sa]
+    if (only_a or only_b) and len(a) == len(b) and _approx_equal(a, b):
+        return problems
     if only_a or only_b or (a != b and not problems):
         diff = max(len(only_a), len(only_b))
         problems.append(f"{diff} differing rows; columns {sc}")
