@@ -74,3 +74,10 @@ def hash_unit(key: Column) -> Column:
 def percent_text(x: Column, digits: int = 1) -> Column:
     """'%.1f%%' text with Python's half-even rounding (Java's formatter rounds half up)."""
     return F.when(x.isNotNull(), F.format_string(f"%.{digits}f%%", F.bround(x, digits)))
+
+
+def round_half_even_binary(x: Column, digits: int = 0) -> Column:
+    """Round the way numpy / pandas `.round(d)` does: rint(x * 10^d) / 10^d on
+    the binary double (Spark's `round` rounds the decimal text half up)."""
+    f = float(10 ** digits)
+    return F.rint(x * f) / f

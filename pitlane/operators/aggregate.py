@@ -24,3 +24,112 @@ def bridge_average(matches: DataFrame, bridge: DataFrame, profiles: DataFrame, m
     first = out_names[0]
     return j.select(*matches.columns, *[
         F.when(F.col(first).isNull(), F.lit(d)).otherwise(F.col(o)).alias(o) for o, d in zip(out_names, defaults)])
+
+
+def group_mean(df: DataFrame, keys, value: str, out: str = "mean", digits: int | None = None) -> DataFrame:
+    """Mean per group, optionally rounded like pandas (half-even on the binary value)."""
+    from pitlane.functions.scalars import round_half_even_binary
+    m = F.avg(value)
+    g = df.groupBy(*([keys] if isinstance(keys, str) else keys)).agg(m.alias(out))
+    if digits is not None:
+        g = g.withColumn(out, round_half_even_binary(F.col(out), digits))
+    return g
+
+
+def group_mean_std_count(df: DataFrame, keys, value: str) -> DataFrame:
+    """Mean, sample std and count per group (sorted by mean)."""
+    return (df.groupBy(*([keys] if isinstance(keys, str) else keys))
+            .agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.count(value).alias("count"))
+            .orderBy("mean"))
+
+
+def _stack(df: DataFrame, id_cols, names, value_fields: dict[str, list]) -> DataFrame:
+    """Wide -> long: one row per name with the listed per-name expressions."""
+    rows = [F.struct(F.lit(n).alias("feature"), *[exprs[i].alias(k) for k, exprs in value_fields.items()])
+            for i, n in enumerate(names)]
+    return df.select(*id_cols, F.inline(F.array(*rows)))
+
+
+def binary_split_means(df: DataFrame, flag: Column | str, features: Sequence[str]) -> DataFrame:
+    """E5: per feature, mean over flagged rows and over unflagged rows (long form).
+    One aggregate pass; the long form is built from its single row."""
+    f = F.col(flag) if isinstance(flag, str) else flag
+    agg = df.agg(*[F.avg(F.when(~f, F.col(c))).alias(f"h_{c}") for c in features],
+                 *[F.avg(F.when(f, F.col(c))).alias(f"m_{c}") for c in features])
+    return _stack(agg, [], features, {"avg_hit": [F.col(f"h_{c}") for c in features],
+                                      "avg_miss": [F.col(f"m_{c}") for c in features]})
+
+
+def segment_residuals(df: DataFrame, flags: Sequence[str], residual: str = "residual") -> DataFrame:
+    """Per 0/1 flag column: count and mean residual where 1, mean where 0;
+    flags taking a single value are omitted.  Flags are stacked to long form
+    and aggregated in one pass (partial aggregation before the shuffle)."""
+    long = df.select(F.col(residual).alias("_r"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("hook"), F.col(c).cast("int").alias("_f")) for c in flags])))
+    g = long.groupBy("hook").agg(
+        F.count(F.when(F.col("_f") == 1, F.col("_r"))).alias("count_if_1"),
+        F.avg(F.when(F.col("_f") == 1, F.col("_r"))).alias("mean_resid_if_1"),
+        F.avg(F.when(F.col("_f") == 0, F.col("_r"))).alias("mean_resid_if_0"),
+        F.max(F.when(F.col("_f") == 1, 1)).alias("_has1"), F.max(F.when(F.col("_f") == 0, 1)).alias("_has0"))
+    return g.where(F.col("_has1").isNotNull() & F.col("_has0").isNotNull()).drop("_has1", "_has0")
+
+
+def value_counts(df: DataFrame, col: str, out: str = "count") -> DataFrame:
+    """Frequency per value (NULL counted as its own value), most frequent first."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias(out)).orderBy(F.col(out).desc(), F.col(col).asc_nulls_last())
+
+
+def rows_per_date(df: DataFrame, date: str, out: str = "n_rows") -> DataFrame:
+    """Row count per date."""
+    return df.groupBy(date).agg(F.count(F.lit(1)).alias(out))
+
+
+def group_median_mode(df: DataFrame, keys, median_cols: Sequence[str], mode_cols: Sequence[str]) -> DataFrame:
+    """Exact median per column and the most frequent value (smallest on a
+    tie) per group.  `median`/`mode` aggregate map-side into value->count maps,
+    so memory per group grows with its distinct values, not its rows."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(*[F.median(c).alias(f"median_{c}") for c in median_cols],
+                                 *[F.mode(c, deterministic=True).alias(f"mode_{c}") for c in mode_cols])
+
+
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Count, mean, sample std, min, exact 25/50/75% (linear interpolation,
+    as pandas) and max per numeric column, one row per column."""
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.min(x).alias(f"{c}__min"), F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q"),
+                 F.max(x).alias(f"{c}__max")]
+    one = df.agg(*aggs)
+    fields = {"count": [F.col(f"{c}__count") for c in cols], "mean": [F.col(f"{c}__mean") for c in cols],
+              "std": [F.col(f"{c}__std") for c in cols], "min": [F.col(f"{c}__min") for c in cols],
+              "p25": [F.col(f"{c}__q")[0] for c in cols], "p50": [F.col(f"{c}__q")[1] for c in cols],
+              "p75": [F.col(f"{c}__q")[2] for c in cols], "max": [F.col(f"{c}__max") for c in cols]}
+    return _stack(one, [], cols, fields).withColumnRenamed("feature", "column")
+
+
+def null_profile(df: DataFrame, cols: Sequence[str] | None = None, max_nulls: int = 0) -> DataFrame:
+    """NULL count per column (long form) and whether it is within `max_nulls`."""
+    cols = list(cols or df.columns)
+    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    out = _stack(one, [], cols, {"n_null": [F.col(c) for c in cols]}).withColumnRenamed("feature", "column")
+    return out.withColumn("ok", F.col("n_null") <= max_nulls)
+
+
+def skew_profile(df: DataFrame, cols: Sequence[str], limit: float = 0.75) -> DataFrame:
+    """Population skewness (scipy's default, Spark's `skewness`) per column, kept if > limit."""
+    one = df.agg(*[F.skewness(F.col(c).cast("double")).alias(c) for c in cols])
+    out = _stack(one, [], cols, {"skew": [F.col(c) for c in cols]}).withColumnRenamed("feature", "column")
+    return out.where(F.col("skew") > limit)
+
+
+def segment_vs_overall(profile: DataFrame, segment: str, metrics: Sequence[str]) -> DataFrame:
+    """Each segment's metric against the unweighted mean of the segment
+    means (mean of group means, not of rows).  The overall row is a one-row
+    aggregate crossed in as a broadcast."""
+    overall = profile.agg(*[F.avg(m).alias(f"overall_{m}") for m in metrics])
+    j = profile.select(segment, *metrics).crossJoin(F.broadcast(overall))
+    return j.select(segment, *metrics, *[F.col(f"overall_{m}") for m in metrics],
+                    *[(F.col(m) - F.col(f"overall_{m}")).alias(f"delta_{m}") for m in metrics])

@@ -4,3 +4,4 @@ from pitlane.plans import q_pit  # noqa: F401
 from pitlane.plans import q_reshape  # noqa: F401
 from pitlane.plans import q_joins  # noqa: F401
 from pitlane.plans import q_upsert  # noqa: F401
+from pitlane.plans import q_agg  # noqa: F401
