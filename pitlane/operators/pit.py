@@ -99,9 +99,10 @@ def _finished_team_rows(games: DataFrame, status: str, date: str, season_type: s
     return match_to_team_rows(g.where(cond), date=date)
 
 
-def _scheduled_team_rows(games: DataFrame, status: str, date: str, season_type: str | None) -> DataFrame:
+def _scheduled_team_rows(games: DataFrame, status: str, date: str, season_type: str | None,
+                         requests: str = "scheduled") -> DataFrame:
     g = games.withColumn("_status", norm_status(F.col(status)))
-    cond = F.col("_status") == "scheduled"
+    cond = (F.col("_status") == "scheduled") if requests == "scheduled" else F.lit(True)
     if season_type is not None:
         cond = cond & (F.col("season_type") == season_type)
     rows = match_to_team_rows(g.where(cond), date=date, points=False)
@@ -113,11 +114,11 @@ def _scheduled_team_rows(games: DataFrame, status: str, date: str, season_type:
 # ---------------------------------------------------------------------------
 
 def rest_days(games: DataFrame, season_type: str | None = "regular", status: str = "status",
-              date: str = "game_date_et") -> DataFrame:
+              date: str = "game_date_et", requests: str = "scheduled") -> DataFrame:
     """Scheduled (game, team) rows with the last finished match date strictly
     before, `rest_days = gap - 1` (NULL if none) and `rest_days_missing` (V3)."""
     finals = _finished_team_rows(games, status, date, season_type, need_points=False)
-    sched = _scheduled_team_rows(games, status, date, season_type)
+    sched = _scheduled_team_rows(games, status, date, season_type, requests)
     out = asof_last_before(sched, finals, "team_id", "scheduled_date_et", date, out_time="last_final_date_et")
     return out.select(
         "game_id", "scheduled_date_et", "team_id", "is_home", "last_final_date_et",
@@ -131,10 +132,12 @@ def rest_days(games: DataFrame, season_type: str | None = "regular", status: str
 # ---------------------------------------------------------------------------
 
 def last_n_form(games: DataFrame, ns: Sequence[int] = (5, 10), season_type: str | None = None,
-                status: str = "status", date: str = "game_date_et", prefix: str = "rolling_pd") -> DataFrame:
+                status: str = "status", date: str = "game_date_et", prefix: str = "rolling_pd",
+                requests: str = "scheduled") -> DataFrame:
     """Per scheduled (game, team): `{prefix}_{n}` = AVG of the last n finished
     margins with date < scheduled date, as decimal(10,3) (NULL if none), and
-    `{prefix}_{n}_n` = how many there were (0 if none).
+    `{prefix}_{n}_n` = how many there were (0 if none).  `requests='all'`
+    computes the same pre-match features for every match (training rows).
 
     Plan (no correlated subquery, trap T1):
       1. finished team rows; keep the n_max latest per (team, date) -- Spark
@@ -158,7 +161,7 @@ def last_n_form(games: DataFrame, ns: Sequence[int] = (5, 10), season_type: str
         stats += [F.avg("_m").over(wn).alias(f"_a{n}"), F.count("_m").over(wn).alias(f"_c{n}")]
     summ = fin.select("team_id", "_d", "_rn", *stats).where(F.col("_rn") == 1).drop("_rn")
 
-    sched = _scheduled_team_rows(games, status, date, season_type)
+    sched = _scheduled_team_rows(games, status, date, season_type, requests)
     vals = [c for n in ns for c in (f"_a{n}", f"_c{n}")]
     out = asof_last_before(sched, summ, "team_id", "scheduled_date_et", "_d", values=vals, out_time="_last_d")
     cols = []

@@ -6,3 +6,4 @@ from pitlane.plans import q_joins  # noqa: F401
 from pitlane.plans import q_upsert  # noqa: F401
 from pitlane.plans import q_agg  # noqa: F401
 from pitlane.plans import q_rank  # noqa: F401
+from pitlane.plans import q_features  # noqa: F401
