@@ -8,3 +8,4 @@ from pitlane.plans import q_agg  # noqa: F401
 from pitlane.plans import q_rank  # noqa: F401
 from pitlane.plans import q_features  # noqa: F401
 from pitlane.plans import q_eval  # noqa: F401
+from pitlane.plans import q_sources  # noqa: F401
