@@ -345,11 +345,12 @@ def team_features_with_rest(games: DataFrame, ns: Sequence[int] = (5, 10)) -> Da
                       F.when(rd == 0, 1).otherwise(0).alias("back_to_back"))
 
 
-def strength_of_schedule(games: DataFrame, n: int = 10) -> DataFrame:
+def strength_of_schedule(games: DataFrame, n: int = 10, f6: DataFrame | None = None) -> DataFrame:
     """F7 [definition ours]: mean over the team's previous n matches of the
     opponent's prior 10-match form at that match (opponent's F6 value joined on
-    match and team)."""
-    f6 = team_features_with_rest(games, ns=(10,))
+    match and team).  Pass an existing F6 frame to reuse it."""
+    if f6 is None:
+        f6 = team_features_with_rest(games, ns=(10,))
     opp = f6.select("game_id", F.col("team_id").alias("opp_team_id"), F.col("rolling_pd_10").alias("opp_form"))
     rows = f6.select("game_id", "team_id", "opp_team_id", "game_date_et").join(opp, ["game_id", "opp_team_id"], "left")
     res = bucketed_trailing(rows, "team_id", ["game_date_et", "game_id"],

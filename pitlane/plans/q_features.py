@@ -267,7 +267,7 @@ def match_matrix(T, pace_default=98.0, glass_defaults=(0.0, 0.0)):
     table first, so the match table is attached to it with one dual join."""
     games = T.fx_games
     f6 = pit.team_features_with_rest(games)
-    sos = pit.strength_of_schedule(games).select("game_id", "team_id", "rolling_sos_10")
+    sos = pit.strength_of_schedule(games, f6=f6).select("game_id", "team_id", "rolling_sos_10")
     adv_rows = T.fx_team_game_stats.join(games.select("game_id", "game_date_et"), "game_id")
     adv = pit.rolling_rows(adv_rows.select("game_id", "team_id", "game_date_et", "pace_est", "oreb_pct", "dreb_pct"),
                            "team_id", ["game_date_et", "game_id"],

@@ -54,3 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut a long lineage before an iterative consumer (model fitting, k-fold
+    loops): a reliable checkpoint into the shared `spark.checkpoint.dir`, so a
+    lost executor re-reads the files instead of recomputing the lineage.
+    (Never localCheckpoint: its blocks die with the executor.)"""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
