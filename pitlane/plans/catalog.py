@@ -10,3 +10,4 @@ from pitlane.plans import q_features  # noqa: F401
 from pitlane.plans import q_eval  # noqa: F401
 from pitlane.plans import q_sources  # noqa: F401
 from pitlane.plans import q_ml  # noqa: F401
+from pitlane.plans import q_stream  # noqa: F401
