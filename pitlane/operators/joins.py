@@ -85,10 +85,10 @@ def double_dimension_join(df: DataFrame, dim: DataFrame, dim_key: str, dim_value
 
 def delta_after_watermark(source: DataFrame, target: DataFrame, date: str, floor: str = "0001-01-01") -> DataFrame:
     """Source rows later than the target's latest date; all rows if the
-    target is empty.  The watermark is a one-row aggregate (map-side partial
-    max), crossed with the source as a one-row broadcast."""
-    wm = target.agg(F.coalesce(F.max(date).cast("date"), F.lit(floor).cast("date")).alias("_wm"))
-    return source.crossJoin(F.broadcast(wm)).where(F.col(date) > F.col("_wm")).drop("_wm")
+    target is empty.  The watermark is a scalar subquery (a one-row aggregate
+    with map-side partial max) used in a plain filter -- no join."""
+    wm = target.select(F.coalesce(F.max(date).cast("date"), F.lit(floor).cast("date"))).scalar()
+    return source.where(F.col(date) > wm)
 
 
 def pending_before(games: DataFrame, as_of, status: str = "status", date: str = "game_date_et",

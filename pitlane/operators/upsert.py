@@ -25,7 +25,10 @@ def assert_unique(df: DataFrame, keys, what: str = "source") -> DataFrame:
     keys = _keys(keys)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     msg = F.concat(F.lit(f"duplicate key in {what}: "), F.to_json(F.struct(*keys)))
-    return df.withColumn("_dup", F.when(n > 1, F.raise_error(msg))).drop("_dup")
+    # the check sits in a filter predicate, which is always evaluated (a
+    # dropped helper column would be pruned away before it ran)
+    chk = df.withColumn("_n_key", n)
+    return chk.where(F.when(F.col("_n_key") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))).drop("_n_key")
 
 
 def _merge(target: DataFrame, source: DataFrame, keys, how: str, pick) -> DataFrame:

@@ -247,7 +247,6 @@ def q_f15(T):
     """F15 [doc]: exponential time-decay weight (half-life 365 days), last 3 seasons."""
     from pitlane.functions.scalars import season_start_year
     rows = pit.team_rows_final(T.fx_games).select("game_id", "team_id", "game_date_et", "margin")
-    as_of = T.fx_games.agg(F.max("game_date_et").alias("as_of"))
-    j = rows.crossJoin(F.broadcast(as_of))  # one-row aggregate
-    j = j.where(season_start_year(F.col("game_date_et")) >= season_start_year(F.col("as_of")) - 2)
-    return pit.time_decay_weight(j, "game_date_et", F.col("as_of")).drop("as_of")
+    as_of = T.fx_games.select(F.max("game_date_et")).scalar()  # scalar subquery, no join
+    j = rows.where(season_start_year(F.col("game_date_et")) >= season_start_year(as_of) - 2)
+    return pit.time_decay_weight(j, "game_date_et", as_of)
