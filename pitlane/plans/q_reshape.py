@@ -225,3 +225,12 @@ def q_scalars(T):
         F.bround(c("home_pts") / 2.0, 0).alias("round_half_even"),
         S.percent_text(100.0 * c("home_pts") / (c("home_pts") + c("away_pts"))).alias("home_share_text"),
     )
+
+
+@register("match_to_team_rows", """
+SELECT game_id, game_date_et, home_team_id AS team_id, away_team_id AS opp_team_id, TRUE AS is_home, home_pts AS pts_for, away_pts AS pts_against FROM fx_games
+UNION ALL
+SELECT game_id, game_date_et, away_team_id, home_team_id, FALSE, away_pts, home_pts FROM fx_games""")
+def q_b4(T):
+    """One match row -> two team rows with for/against swapped (one scan)."""
+    return R.match_to_team_rows(T.fx_games)
