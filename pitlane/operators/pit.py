@@ -183,12 +183,48 @@ def scheduled_form_and_rest(games: DataFrame, ns: Sequence[int] = (5, 10), seaso
 # Bucketed trailing-row frames (skew-safe per-row rolling windows)
 # ---------------------------------------------------------------------------
 
+# Largest entity (rows) that the plain per-entity window may hold in one task.
+MAX_ROWS_PER_WINDOW_TASK = 2_000_000
+
+
+def _plain_trailing(df: DataFrame, ent: list[str], order: list[str], aggs) -> DataFrame:
+    fns = {"avg": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
+           "stddev_samp": F.stddev_samp, "stddev_pop": F.stddev_pop}
+    w = Window.partitionBy(*ent).orderBy(*order)
+    return df.select("*", *[fns[fn](F.col(v) if isinstance(v, str) else v).over(w.rowsBetween(s, e)).alias(name)
+                            for name, (fn, v, s, e) in aggs.items()])
+
+
 def bucketed_trailing(
     df: DataFrame,
     entity: str | Sequence[str],
     order: Sequence[str],
     aggs: dict[str, tuple[str, Column | str, int, int]],
     bucket: Column | str | None = None,
+    max_rows_per_task: int | None = MAX_ROWS_PER_WINDOW_TASK,
+) -> DataFrame:
+    """Trailing ROWS-frame aggregates with a checked choice of plan.
+
+    One small aggregate measures the largest entity (rows per entity, partial
+    aggregation map-side; one number reaches the driver).  If every entity
+    fits `max_rows_per_task`, the plain per-entity window runs (one shuffle,
+    one sort).  Beyond it -- a hot entity -- the bucketed halo plan below
+    spreads each entity over its buckets.  `max_rows_per_task=None` forces
+    the bucketed plan."""
+    ent = _cols(entity)
+    if max_rows_per_task is not None:
+        biggest = df.groupBy(*ent).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= max_rows_per_task:
+            return _plain_trailing(df, ent, list(order), aggs)
+    return _bucketed_halo(df, ent, order, aggs, bucket)
+
+
+def _bucketed_halo(
+    df: DataFrame,
+    entity: str | Sequence[str],
+    order: Sequence[str],
+    aggs: dict[str, tuple[str, Column | str, int, int]],
+    bucket: Column | str | None = None,
 ) -> DataFrame:
     """Add per-row trailing ROWS-frame aggregates without a per-entity hot task.
 
@@ -196,47 +232,146 @@ def bucketed_trailing(
     i.e. `fn(value) over (partition by entity order by order rows between start and end)`
     where fn is one of avg, sum, count, min, max, stddev_samp, stddev_pop.
 
-    The frame never reaches further back than H = max(-start) rows.  Rows are
-    windowed per (entity, bucket); each bucket first receives the H rows that
-    precede it (its halo), found from the per-bucket tails only (at most H rows
-    per bucket).  `bucket` must be non-decreasing along `order` within an
-    entity (default: the first order column, e.g. the date).
-    """
+    Plan (one full-size shuffle):
+      * rows are hash-partitioned once by (entity, bucket); `bucket` must be
+        non-decreasing along `order` within an entity (default: the first
+        order column, e.g. the date).  Each row gets its position p in the
+        bucket and the in-bucket part of its frame from ordinary windows;
+      * the last H = max(-start) rows of each bucket (its tail; a
+        WindowGroupLimit on the same, reused exchange) are laid out per
+        entity, and the H tail rows before each bucket's first tail row are
+        that bucket's halo -- the rows a frame may reach back into.  Halos
+        are tiny (<= H values per bucket);
+      * the halo is joined back by (entity, bucket) -- only the small side
+        moves -- and the part of each frame that lies before the bucket is
+        folded in with array expressions over a slice of the halo.
+    A hot entity is spread over its buckets; no task holds a whole entity."""
     ent = _cols(entity)
     order = list(order)
     H = max(-spec[2] for spec in aggs.values())
     bcol = F.col(order[0]) if bucket is None else (F.col(bucket) if isinstance(bucket, str) else bucket)
-    vals = F.struct(*[(F.col(v) if isinstance(v, str) else v).alias(f"_v_{name}")
-                      for name, (fn, v, s, e) in aggs.items()])
-    base = df.select(*[F.col(c) for c in ent], bcol.alias("_b"), *[F.col(c).alias(f"_o_{i}") for i, c in enumerate(order)],
-                     vals.alias("_vals"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
+    # one value column per distinct (input, kind): aggregates over the same
+    # input share their halo arrays
+    vkey = {name: (v if isinstance(v, str) else str(v), fn in ("min", "max")) for name, (fn, v, s, e) in aggs.items()}
+    distinct_v = list(dict.fromkeys(vkey.values()))
+    vnames = {name: f"_v_{distinct_v.index(vkey[name])}" for name in aggs}
+    def _val(v, fn):
+        c = F.col(v) if isinstance(v, str) else v
+        return c if fn in ("min", "max") else c.cast("double")
+    seen = set()
+    vcols = []
+    for name, (fn, v, s, e) in aggs.items():
+        if vnames[name] not in seen:
+            seen.add(vnames[name])
+            vcols.append(_val(v, fn).alias(vnames[name]))
     ocols = [f"_o_{i}" for i in range(len(order))]
+    base = df.select("*", bcol.alias("_b"), *[F.col(c).alias(o) for c, o in zip(order, ocols)], *vcols)
+    wb = Window.partitionBy(*ent, "_b").orderBy(*ocols)
+    base = base.withColumn("_p", F.row_number().over(wb))
+
+    # in-bucket parts: sums / counts / extremes over the frame clipped to the bucket
+    inb = []
+    for name, (fn, v, s, e) in aggs.items():
+        x = F.col(vnames[name])
+        w = wb.rowsBetween(s, e)
+        inb.append(F.count(x).over(w).alias(f"_c_{name}"))
+        if fn not in ("min", "max"):
+            inb.append(F.sum(x).over(w).alias(f"_s_{name}"))
+        if fn in ("min", "max"):
+            inb.append((F.min(x) if fn == "min" else F.max(x)).over(w).alias(f"_m_{name}"))
+        if fn.startswith("stddev"):
+            inb.append(F.sum(x * x).over(w).alias(f"_q_{name}"))
+    base = base.select("*", *inb)
+
+    out = base
     if H > 0:
         tail_w = Window.partitionBy(*ent, "_b").orderBy(*[F.col(c).desc() for c in ocols])
-        tails = (base.select(*ent, "_b", *ocols, "_vals")
-                 .withColumn("_rn", F.row_number().over(tail_w)).where(F.col("_rn") <= H).drop("_rn"))
-        o_type = tails.select(F.struct(*ocols)).schema[0].dataType
-        # one marker per (entity, bucket), sorted before that bucket's tail rows
-        markers = base.select(*ent, "_b").distinct().select(
-            *ent, "_b", F.lit(0).alias("_k"), F.lit(None).cast(o_type).alias("_o"),
-            F.lit(None).cast(tails.schema["_vals"].dataType).alias("_vals"))
-        seq = tails.select(*ent, "_b", F.lit(1).alias("_k"), F.struct(*ocols).alias("_o"), "_vals").unionByName(markers)
-        # a bucket adds one marker and >= 1 tail row, so 2H preceding entries
-        # always hold the H previous real rows
-        seq_w = Window.partitionBy(*ent).orderBy("_b", "_k", "_o").rowsBetween(-2 * H, -1)
-        prev = F.collect_list(F.when(F.col("_k") == 1, F.struct("_o", "_vals"))).over(seq_w)
-        halos = (seq.withColumn("_prev", prev).where(F.col("_k") == 0)
-                 .select(*ent, "_b", F.expr(f"slice(_prev, greatest(1, size(_prev) - {H} + 1), {H})").alias("_prev")))
-        halo_rows = halos.select(*ent, "_b", F.explode("_prev").alias("_h")).select(
-            *ent, "_b", *[F.col(f"_h._o.{c}").alias(c) for c in ocols], F.col("_h._vals").alias("_vals"),
-            F.lit(None).cast(base.schema["_row"].dataType).alias("_row"))
-        base = base.unionByName(halo_rows)
-    w = Window.partitionBy(*ent, "_b").orderBy(*ocols)
-    fns = {"avg": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
-           "stddev_samp": F.stddev_samp, "stddev_pop": F.stddev_pop}
-    exprs = [fns[fn](F.col(f"_vals._v_{name}")).over(w.rowsBetween(s, e)).alias(name)
-             for name, (fn, v, s, e) in aggs.items()]
-    return base.select("_row", *exprs).where(F.col("_row").isNotNull()).select("_row.*", *aggs.keys())
+        tails = (base.select(*ent, "_b", *ocols, *dict.fromkeys(vnames.values()))
+                 .withColumn("_rn", F.row_number().over(tail_w)).where(F.col("_rn") <= H))
+        seq_w = Window.partitionBy(*ent).orderBy("_b", *ocols)
+        vals = F.struct(*[F.col(c) for c in dict.fromkeys(vnames.values())])
+        halos = (tails.select(*ent, "_b", "_rn",
+                              F.collect_list(vals).over(seq_w.rowsBetween(-H, -1)).alias("_halo"),
+                              F.max("_rn").over(Window.partitionBy(*ent, "_b")).alias("_first"))
+                 .where(F.col("_rn") == F.col("_first")).select(*ent, "_b", "_halo"))
+        # per bucket (small table): value arrays and prefix arrays of count,
+        # sum and sum of squares, so that each row reads a frame part in O(1)
+        hcols = [F.size("_halo").alias("_L")]
+
+        def field(vn):
+            return lambda r: r[vn]
+
+        def prefix(arr, kind):
+            # [0, f(x1), f(x1)+f(x2), ...] in one pass; f counts / sums / squares non-null values
+            def step(acc, x):
+                inc = {"count": F.when(x.isNull(), 0.0).otherwise(1.0),
+                       "sum": F.coalesce(x, F.lit(0.0)),
+                       "sumsq": F.coalesce(x * x, F.lit(0.0))}[kind]
+                return F.concat(acc, F.array(F.element_at(acc, -1) + inc))
+            return F.aggregate(arr, F.array(F.lit(0.0)), step)
+
+        built = set()
+        for name, (fn, v, s_, e_) in aggs.items():
+            vn = vnames[name]
+            arr = F.transform("_halo", field(vn))
+            wanted = [("count", f"_hc_{vn}")]
+            wanted += [("values", f"_hv_{vn}")] if fn in ("min", "max") else [("sum", f"_hs_{vn}")]
+            if fn.startswith("stddev"):
+                wanted.append(("sumsq", f"_hq_{vn}"))
+            for kind, col_name in wanted:
+                if col_name not in built:
+                    built.add(col_name)
+                    hcols.append((arr if kind == "values" else prefix(arr, kind)).alias(col_name))
+        # halo keys renamed: halos derive from `base`, and equal attribute ids
+        # on both sides would make the join condition trivially true
+        hk = {c: f"_hk_{i}" for i, c in enumerate([*ent, "_b"])}
+        halos = halos.select(*[F.col(c).alias(k) for c, k in hk.items()], *hcols)
+        # only the first H rows of a bucket can reach back into its halo
+        cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in hk.items()] + [F.col("_p") <= H]
+        out = base.join(halos, cond, "left").drop(*hk.values())
+    res = []
+    for name, (fn, v, s, e) in aggs.items():
+        sm = F.col(f"_s_{name}") if fn not in ("min", "max") else F.lit(0.0)
+        ct = F.col(f"_c_{name}")
+        q = F.col(f"_q_{name}") if fn.startswith("stddev") else None
+        hm = None
+        if H > 0 and s < 0:
+            L = F.coalesce(F.col("_L"), F.lit(0))
+            start = F.greatest(F.lit(1), L + F.col("_p") + s)
+            end = L + F.least(F.col("_p") + e, F.lit(0))
+            has = (end >= start) & F.col("_L").isNotNull()
+
+            def part(arr_name):
+                return F.when(has, F.element_at(F.col(arr_name), end + 1) - F.element_at(F.col(arr_name), start)).otherwise(0)
+            vn = vnames[name]
+            ct = ct + part(f"_hc_{vn}")
+            if fn in ("min", "max"):
+                seg = F.slice(F.col(f"_hv_{vn}"), start, F.greatest(end - start + 1, F.lit(1)))
+                hm = F.when(has, F.array_min(seg) if fn == "min" else F.array_max(seg))
+            else:
+                sm = F.coalesce(sm, F.lit(0.0)) + part(f"_hs_{vn}")
+            if q is not None:
+                q = F.coalesce(q, F.lit(0.0)) + part(f"_hq_{vn}")
+        else:
+            sm = F.coalesce(sm, F.lit(0.0))
+        if fn == "sum":
+            r = F.when(ct > 0, sm)
+        elif fn == "count":
+            r = ct
+        elif fn == "avg":
+            r = F.when(ct > 0, sm / ct)
+        elif fn in ("min", "max"):
+            m = F.col(f"_m_{name}")
+            r = m if hm is None else (F.least if fn == "min" else F.greatest)(m, hm)
+        elif fn.startswith("stddev"):
+            q = F.coalesce(q, F.lit(0.0))
+            var_pop = F.greatest(F.lit(0.0), q / ct - F.pow(sm / ct, 2))
+            r = (F.when(ct > 1, F.sqrt(var_pop * ct / (ct - 1))) if fn == "stddev_samp"
+                 else F.when(ct > 0, F.sqrt(var_pop)))
+        else:
+            raise ValueError(fn)
+        res.append(r.alias(name))
+    return out.select(*df.columns, *res)
 
 
 def _default_bucket(order_first: str) -> Column:
@@ -245,7 +380,7 @@ def _default_bucket(order_first: str) -> Column:
 
 def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str, str], n: int,
                  include_current: bool = True, full_only: bool = False, fn: str = "avg",
-                 bucket: Column | None = None) -> DataFrame:
+                 bucket: Column | None = None, max_rows_per_task: int | None = MAX_ROWS_PER_WINDOW_TASK) -> DataFrame:
     """per-row mean (or `fn`) of the last `n` rows per entity.
 
     include_current=True  -> rows between n-1 preceding and current (F3)
@@ -260,7 +395,7 @@ def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str,
         if full_only:
             aggs[f"_cnt_{out}"] = ("count", c, s, e)
     b = bucket if bucket is not None else _default_bucket(order[0])
-    res = bucketed_trailing(df, entity, order, aggs, bucket=b)
+    res = bucketed_trailing(df, entity, order, aggs, bucket=b, max_rows_per_task=max_rows_per_task)
     if full_only:
         for out in metrics:
             res = res.withColumn(out, F.when(F.col(f"_cnt_{out}") == n, F.col(out))).drop(f"_cnt_{out}")

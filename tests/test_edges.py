@@ -92,12 +92,15 @@ def test_no_future_leak(spark):
     assert a[("g5", 1)] == b[("g5", 1)]
 
 
-@pytest.mark.parametrize("include_current,full_only", [(True, False), (False, False), (True, True)])
-def test_rolling_rows_matches_plain_window(spark, include_current, full_only):
+@pytest.mark.parametrize("include_current,full_only,forced", [(True, False, None), (False, False, None), (True, True, None),
+                                                              (True, False, 10**9), (False, False, 10**9)])
+def test_rolling_rows_matches_plain_window(spark, include_current, full_only, forced):
     data = [(e, D(2020 + (i // 7), 1 + i % 12, 1 + (i * 3) % 27), f"m{i:03d}", None if i % 9 == 4 else float(i % 13))
             for e in (1, 2) for i in range(40)]
     df = spark.createDataFrame(data, "e int, d date, mid string, v double")
-    out = pit.rolling_rows(df, "e", ["d", "mid"], {"r": "v"}, 5, include_current=include_current, full_only=full_only)
+    # forced=None -> bucketed halo plan; a large threshold -> plain window
+    out = pit.rolling_rows(df, "e", ["d", "mid"], {"r": "v"}, 5, include_current=include_current, full_only=full_only,
+                           max_rows_per_task=forced)
     got = {(r.e, r.mid): r.r for r in out.collect()}
     for e in (1, 2):
         seq = sorted([x for x in data if x[0] == e], key=lambda x: (x[1], x[2]))
@@ -271,3 +274,24 @@ def test_stratified_split_exact(spark):
     import math
     for lab, n in ((True, 34), (False, 67)):
         assert counts[(lab, "test")] == math.ceil(0.2 * n)
+
+
+def test_bucketed_plan_equals_plain_on_player_logs(spark):
+    from conftest import SF_SMALL
+    from pitlane.plans import q_pit
+    from pitlane.sources.fixtures import Tables
+    rows_ = q_pit._player_rows(Tables(spark, SF_SMALL))
+    aggs = {o: ("avg", c, -k, -1) for o, (c, k) in q_pit._PLAYER_FRAMES.items()}
+    aggs["max_pts_3"] = ("max", "pts", -3, 0)
+    aggs["sd_pts_4"] = ("stddev_samp", "pts", -4, -1)
+    a = pit.bucketed_trailing(rows_, "player_id", q_pit._PLAYER_ORDER, aggs, bucket=F.trunc(F.col("game_date"), "month"),
+                              max_rows_per_task=None)
+    b = pit.bucketed_trailing(rows_, "player_id", q_pit._PLAYER_ORDER, aggs, max_rows_per_task=10**9)
+    key = ["game_id", "player_id", "line_no"]
+    ra = {tuple(r[k] for k in key): r for r in a.collect()}
+    rb = {tuple(r[k] for k in key): r for r in b.collect()}
+    assert ra.keys() == rb.keys()
+    for k in ra:
+        for name in aggs:
+            x, y = ra[k][name], rb[k][name]
+            assert (x is None and y is None) or x == pytest.approx(y), (k, name, x, y)
