@@ -44,16 +44,26 @@ def left_attach_default(df: DataFrame, other: DataFrame, on, defaults: dict) ->
 
 def or_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: Sequence[str],
                 out_cols: Sequence[str] | None = None) -> DataFrame:
-    """`left.key = right.k1 OR left.key = right.k2` without a nested-loop join.
+    """`SELECT DISTINCT ... ON left.key = right.k1 OR left.key = right.k2`
+    without a nested-loop join.
 
     The right side is exploded to one row per distinct key value it offers
-    (array_distinct, so an entity on both sides is matched once), then an equi
-    join; the result equals the OR join with DISTINCT rows."""
-    r = right.withColumn("_jk", F.explode(F.array_distinct(F.array(*[F.col(k) for k in right_keys]))))
-    j = left.join(r, left[left_key] == r["_jk"], "inner").drop("_jk")
-    if out_cols is not None:
-        j = j.select(*out_cols)
-    return j.distinct()
+    (array_distinct: an entity on both sides matches once), then an equi join.
+    DISTINCT is applied to the two (small) inputs instead of the (large) join
+    output: with duplicate-free inputs every (left row, right row) pair occurs
+    once, so the output is already distinct whenever it keeps the join key."""
+    lcols = [c for c in (out_cols or left.columns) if c in left.columns]
+    if left_key not in lcols:
+        lcols.append(left_key)
+    rcols = [c for c in (out_cols or right.columns) if c in right.columns and c not in lcols]
+    rcols += [k for k in right_keys if k not in rcols]
+    l = left.select(*lcols).distinct()
+    r = right.select(*rcols).distinct()
+    r = r.withColumn("_jk", F.explode(F.array_distinct(F.array(*[F.col(k) for k in right_keys]))))
+    j = l.join(r, l[left_key] == r["_jk"], "inner").drop("_jk")
+    cols = list(out_cols) if out_cols is not None else [*lcols, *[c for c in rcols if c not in lcols]]
+    out = j.select(*cols)
+    return out if left_key in cols else out.distinct()
 
 
 def missing_or_zero(ids: DataFrame, table: DataFrame, key: str, metric: str) -> DataFrame:
