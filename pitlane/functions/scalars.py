@@ -50,8 +50,10 @@ def season_label_finish(label: Column) -> Column:
 
 
 def business_date(ts_utc: Column, tz: str = "America/New_York", cutoff_hour: int = 4) -> Column:
-    """UTC instant -> local calendar date, where the day starts at `cutoff_hour`."""
-    local = F.from_utc_timestamp(ts_utc.cast("timestamp"), tz)
+    """UTC instant -> local calendar date, where the day starts at `cutoff_hour`.
+    The input is read as a UTC wall-clock value (TIMESTAMP_NTZ), so the result
+    does not depend on the session time zone."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), ts_utc.cast("timestamp_ntz"))
     return F.to_date(local - F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(cutoff_hour)))
 
 

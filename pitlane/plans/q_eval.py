@@ -187,7 +187,7 @@ def q_m5(T):
 _THRS = [0.3, 0.4, 0.5, 0.6, 0.7]
 
 
-@register("threshold_sweep", f"""WITH {_LAB_SQL}, t AS (SELECT lab.*, thr AS threshold FROM lab CROSS JOIN (SELECT unnest({_THRS}) AS thr)),
+@register("threshold_sweep", f"""WITH {_LAB_SQL}, t AS (SELECT lab.*, CAST(thr AS DOUBLE) AS threshold FROM lab CROSS JOIN (SELECT unnest({_THRS}) AS thr)),
 cm AS ({_cm_sql('threshold', 'threshold,')} FROM t GROUP BY threshold) SELECT *{_CM_RATIOS} FROM cm""")
 def q_m9(T):
     return V.threshold_sweep(_labelled(T), "home_win", "pred_home_prob", _THRS)
@@ -247,7 +247,7 @@ def q_m10(T):
 f4 AS (SELECT game_id, team_id, AVG(pts_for) OVER (PARTITION BY team_id ORDER BY game_date_et, game_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS form FROM team_rows),
 d AS (SELECT p.pred_home_score AS a, f.form AS b, p.actual_home_score AS y FROM {_PH} p JOIN fx_games g ON p.game_id = g.game_id
       JOIN f4 f ON f.game_id = g.game_id AND f.team_id = g.home_team_id WHERE p.actual_home_score IS NOT NULL AND f.form IS NOT NULL),
-r AS (SELECT w AS weight, sqrt(AVG(power(w * a + (1 - w) * b - y, 2))) AS rmse FROM d CROSS JOIN (SELECT unnest([0.4, 0.5, 0.6]) AS w) GROUP BY w)
+r AS (SELECT CAST(w AS DOUBLE) AS weight, sqrt(AVG(power(w * a + (1 - w) * b - y, 2))) AS rmse FROM d CROSS JOIN (SELECT unnest([0.4, 0.5, 0.6]) AS w) GROUP BY w)
 SELECT weight, rmse, weight = (SELECT weight FROM r ORDER BY rmse, weight LIMIT 1) AS is_best FROM r""")
 def q_k9(T):
     rows = pit.team_rows_final(T.fx_games).select("game_id", "team_id", "game_date_et", "pts_for")

@@ -50,7 +50,7 @@ def q_a4(T):
 
 _GAMES_DOC_SQL = """gd AS (SELECT game_date_et AS day, list_sort(list(struct_pack(game_id := game_id, home_team_id := home_team_id,
     away_team_id := away_team_id, home_pts := home_pts, away_pts := away_pts))) AS games FROM fx_games GROUP BY game_date_et)"""
-_PROPS_DOC_SQL = """pd AS (SELECT game_date AS day, list_sort(list(struct_pack(pos := rn, player_id := player_id, pts := pts))) AS top_props
+_PROPS_DOC_SQL = """pd AS (SELECT game_date AS day, list_sort(list(struct_pack(pos := CAST(rn AS INTEGER), player_id := player_id, pts := pts))) AS top_props
   FROM (SELECT *, row_number() OVER (PARTITION BY game_date ORDER BY pts DESC, player_id, game_id, line_no) AS rn FROM fx_player_logs)
   WHERE rn <= 5 GROUP BY game_date)"""
 
@@ -79,10 +79,14 @@ def q_a5(T):
 
 
 @register("merge_documents", f"""WITH {_GAMES_DOC_SQL}, {_PROPS_DOC_SQL}
-SELECT gd.day, gd.games, COALESCE(pd.top_props, []) AS top_props FROM gd LEFT JOIN pd ON gd.day = pd.day""")
+SELECT gd.day, CAST(to_json(gd.games) AS VARCHAR) AS games_json,
+  CAST(to_json(COALESCE(pd.top_props, [])) AS VARCHAR) AS top_props_json FROM gd LEFT JOIN pd ON gd.day = pd.day""")
 def q_a6(T):
-    """Attach the props document's array as top_props (empty when the day has none)."""
-    return SK.merge_documents(_games_docs(T), _props_docs(T), "day", "top_props")
+    """Attach the props document's array as top_props (empty when the day has
+    none); returned as the published JSON text of both arrays."""
+    m = SK.merge_documents(_games_docs(T), _props_docs(T), "day", "top_props")
+    opts = {"ignoreNullFields": "false"}
+    return m.select("day", F.to_json("games", opts).alias("games_json"), F.to_json("top_props", opts).alias("top_props_json"))
 
 
 @register("sink_payload_append", """SELECT prediction_date_et AS prediction_date, 'prediction' AS category,

@@ -20,6 +20,8 @@ def register(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the operators' date/time semantics are written against UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(Tables(spark, sf_dir))
 
         run.__name__ = name
