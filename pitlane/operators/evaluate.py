@@ -58,12 +58,13 @@ def interval_normal(total: Column, margin: Column, sigma_total: float = SIGMA_TO
 def interval_empirical(graded: DataFrame, pred: str, actual: str, q_lo: float = 0.025, q_hi: float = 0.975) -> DataFrame:
     """Residual quantiles (exact) added to the predictions; coverage and
     mean width of the resulting interval, one row."""
+    from pitlane.operators.aggregate import exact_quantiles
     r = graded.withColumn("_res", F.col(actual) - F.col(pred))
-    q = r.agg(F.percentile("_res", [q_lo, q_hi]).alias("_q"))
+    q = exact_quantiles(r, [], "_res", [q_lo, q_hi], ["_qlo", "_qhi"])
     j = r.crossJoin(F.broadcast(q))
-    lo = F.col(pred) + F.col("_q")[0]
-    hi = F.col(pred) + F.col("_q")[1]
-    return j.agg(F.first(F.col("_q")[0]).alias("resid_lo"), F.first(F.col("_q")[1]).alias("resid_hi"),
+    lo = F.col(pred) + F.col("_qlo")
+    hi = F.col(pred) + F.col("_qhi")
+    return j.agg(F.first("_qlo").alias("resid_lo"), F.first("_qhi").alias("resid_hi"),
                  F.avg(((F.col(actual) >= lo) & (F.col(actual) <= hi)).cast("double")).alias("coverage"),
                  F.avg(hi - lo).alias("avg_width"), F.count(F.lit(1)).alias("n"))
 

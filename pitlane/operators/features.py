@@ -28,9 +28,11 @@ def fill_constant(df: DataFrame, fills: dict) -> DataFrame:
 def fill_mode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """NULL -> most frequent value (smallest on a tie), fitted on `fit_on`
     (default: the frame itself).  The modes are a one-row aggregate."""
+    from pitlane.operators.aggregate import group_mode
     fit = fit_on if fit_on is not None else df
-    modes = fit.agg(*[F.mode(c, deterministic=True).alias(f"_mode_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(modes))
+    j = df
+    for c in cols:  # each mode is one row (distributed count per value, then top-1)
+        j = j.crossJoin(F.broadcast(group_mode(fit, [], c, f"_mode_{c}")))
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(c), F.col(f"_mode_{c}"))).drop(f"_mode_{c}")
     return j
@@ -39,9 +41,10 @@ def fill_mode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = Non
 def fill_group_median(df: DataFrame, group: str, col: str) -> DataFrame:
     """NULL -> median of its group, then remaining NULLs (all-NULL groups)
     -> global median of the group-filled column."""
-    med = df.groupBy(group).agg(F.median(col).alias("_gmed"))
+    from pitlane.operators.aggregate import exact_quantiles
+    med = exact_quantiles(df, [group], col, [0.5], ["_gmed"])
     j = df.join(med, group, "left").withColumn(col, F.coalesce(F.col(col), F.col("_gmed"))).drop("_gmed")
-    glob = j.agg(F.median(col).alias("_glob"))
+    glob = exact_quantiles(j, [], col, [0.5], ["_glob"])
     return j.crossJoin(F.broadcast(glob)).withColumn(col, F.coalesce(F.col(col), F.col("_glob"))).drop("_glob")
 
 
@@ -107,9 +110,10 @@ def target_encode_oof(df: DataFrame, cat: str, target: str, fold: str = "fold",
     folds = F.array(*[F.lit(i) for i in range(k)])
     copies = train.select(F.col(cat).alias("_c"), F.col(target).alias("_y"),
                           F.explode(F.filter(folds, lambda x: x != F.col(fold))).alias("_f"))
-    fold_med = copies.groupBy("_f", "_c").agg(F.median("_y").alias("_med"))
-    full_med = train.groupBy(F.col(cat).alias("_c2")).agg(F.median(target).alias("_full"))
-    glob = train.agg(F.median(target).alias("_glob"))
+    from pitlane.operators.aggregate import exact_quantiles
+    fold_med = exact_quantiles(copies, ["_f", "_c"], "_y", [0.5], ["_med"])
+    full_med = exact_quantiles(train.select(F.col(cat).alias("_c2"), target), ["_c2"], target, [0.5], ["_full"])
+    glob = exact_quantiles(train, [], target, [0.5], ["_glob"])
     j = df.join(fold_med, (F.col(fold) == F.col("_f")) & (F.col(origin) == "train") & F.col(cat).eqNullSafe(F.col("_c")), "left")
     j = j.join(full_med, F.col(cat).eqNullSafe(F.col("_c2")), "left")
     j = j.crossJoin(F.broadcast(glob))
@@ -131,12 +135,14 @@ def standardise(df: DataFrame, cols: Sequence[str], fit_on: DataFrame, suffix: s
 
 def robust_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame, suffix: str = "_rs") -> DataFrame:
     """(x - median) / IQR with exact linear-interpolated quartiles (IQR 0 -> 1)."""
-    q = fit_on.agg(*[F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75]).alias(f"_q_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(q))
+    from pitlane.operators.aggregate import exact_quantiles
+    j = df
     for c in cols:
-        iqr = F.col(f"_q_{c}")[2] - F.col(f"_q_{c}")[0]
+        q = exact_quantiles(fit_on, [], c, [0.25, 0.5, 0.75], [f"_q1_{c}", f"_q2_{c}", f"_q3_{c}"])
+        j = j.crossJoin(F.broadcast(q))
+        iqr = F.col(f"_q3_{c}") - F.col(f"_q1_{c}")
         scale = F.when(iqr != 0, iqr).otherwise(F.lit(1.0))
-        j = j.withColumn(f"{c}{suffix}", (F.col(c) - F.col(f"_q_{c}")[1]) / scale).drop(f"_q_{c}")
+        j = j.withColumn(f"{c}{suffix}", (F.col(c) - F.col(f"_q2_{c}")) / scale).drop(f"_q1_{c}", f"_q2_{c}", f"_q3_{c}")
     return j
 
 

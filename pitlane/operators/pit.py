@@ -201,7 +201,7 @@ def bucketed_trailing(
     order: Sequence[str],
     aggs: dict[str, tuple[str, Column | str, int, int]],
     bucket: Column | str | None = None,
-    max_rows_per_task: int | None = MAX_ROWS_PER_WINDOW_TASK,
+    max_rows_per_task: int | None = -1,
 ) -> DataFrame:
     """Trailing ROWS-frame aggregates with a checked choice of plan.
 
@@ -210,8 +210,10 @@ def bucketed_trailing(
     fits `max_rows_per_task`, the plain per-entity window runs (one shuffle,
     one sort).  Beyond it -- a hot entity -- the bucketed halo plan below
     spreads each entity over its buckets.  `max_rows_per_task=None` forces
-    the bucketed plan."""
+    the bucketed plan; -1 (default) reads MAX_ROWS_PER_WINDOW_TASK at call time."""
     ent = _cols(entity)
+    if max_rows_per_task == -1:
+        max_rows_per_task = MAX_ROWS_PER_WINDOW_TASK
     if max_rows_per_task is not None:
         biggest = df.groupBy(*ent).count().agg(F.max("count")).first()[0] or 0
         if biggest <= max_rows_per_task:
@@ -380,7 +382,7 @@ def _default_bucket(order_first: str) -> Column:
 
 def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str, str], n: int,
                  include_current: bool = True, full_only: bool = False, fn: str = "avg",
-                 bucket: Column | None = None, max_rows_per_task: int | None = MAX_ROWS_PER_WINDOW_TASK) -> DataFrame:
+                 bucket: Column | None = None, max_rows_per_task: int | None = -1) -> DataFrame:
     """per-row mean (or `fn`) of the last `n` rows per entity.
 
     include_current=True  -> rows between n-1 preceding and current (F3)

@@ -295,3 +295,25 @@ def test_bucketed_plan_equals_plain_on_player_logs(spark):
         for name in aggs:
             x, y = ra[k][name], rb[k][name]
             assert (x is None and y is None) or x == pytest.approx(y), (k, name, x, y)
+
+
+@pytest.mark.parametrize("forced", [None, 10**9])
+def test_exact_quantiles_both_plans(spark, forced):
+    from pitlane.operators.aggregate import exact_quantiles, group_mode
+    import numpy as np
+    rng = np.random.default_rng(7)
+    data = [("hot", float(v)) for v in rng.lognormal(size=3000)] + [("hot", 1.5)] * 200 + \
+           [("small", v) for v in (3.0, 1.0, 2.0, None)] + [("one", 4.0), ("nulls", None)]
+    df = spark.createDataFrame(data, "g string, x double")
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "x", probs, max_rows_per_group=forced,
+                                           buckets=16, gather=50).collect()}
+    for g in ("hot", "small", "one"):
+        xs = np.array([v for k, v in data if k == g and v is not None])
+        for i, p in enumerate(probs):
+            assert got[g][f"q{i}"] == pytest.approx(float(np.quantile(xs, p)))
+    assert got["nulls"]["q0"] is None
+    glob = exact_quantiles(df, [], "x", [0.5], max_rows_per_group=forced, buckets=16, gather=50).first()[0]
+    assert glob == pytest.approx(float(np.median([v for _, v in data if v is not None])))
+    modes = {r.g: r.mode_x for r in group_mode(df, ["g"], "x").collect()}
+    assert modes["hot"] == 1.5 and modes["small"] == 1.0
