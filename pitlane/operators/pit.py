@@ -44,6 +44,7 @@ def asof_last_before(
     values: Sequence[str] = (),
     out_time: str = "last_event_time",
     inclusive: bool = False,
+    bucket: str | None = "auto",
 ) -> DataFrame:
     """Attach to every request row the latest event of the same entity before it.
 
@@ -52,9 +53,13 @@ def asof_last_before(
     value struct wins, so the answer is deterministic).  Strict `<` unless
     `inclusive`.  Requests without a prior event get NULLs.
 
-    Plan: distinct (entity, time) on both sides -> one window over their
-    union (rows per entity bounded by distinct times) -> equi join back.
-    """
+    Plan: distinct (entity, time) on both sides -> one fill window over their
+    union -> equi join back.  For DATE times the keys per entity are bounded
+    by the calendar.  For finer times (`bucket='auto'` on a timestamp, or an
+    explicit bucket such as 'day' / 'hour') the fill window is partitioned by
+    (entity, time bucket), and the last event of all earlier buckets is
+    carried in from a running fill over per-bucket summaries (one row per
+    bucket), so a hot entity is spread over its buckets."""
     ent = _cols(entity)
     vals = list(values)
     ev = events.select(*[F.col(c) for c in ent], F.col(evt_time).alias("_t"), *[F.col(v) for v in vals])
@@ -66,19 +71,31 @@ def asof_last_before(
     # events sort after requests at the same time for strict '<', before for '<='
     ev_kind = 0 if inclusive else 1
     ev = ev.select(*ent, "_t", F.lit(ev_kind).alias("_k"), "_payload")
-
     req_keys = requests.select(*[F.col(c) for c in ent], F.col(req_time).alias("_t")).distinct()
     req_keys = req_keys.select(*ent, "_t", F.lit(1 - ev_kind).alias("_k"),
                                F.lit(None).cast(ev.schema["_payload"].dataType).alias("_payload"))
+    both = ev.unionByName(req_keys)
 
-    w = Window.partitionBy(*ent).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = (
-        ev.unionByName(req_keys)
-        .withColumn("_last", F.last("_payload", ignorenulls=True).over(w))
-        .where(F.col("_k") == (1 - ev_kind))
-        .select(*ent, F.col("_t").alias("_rt"), F.col("_last._t").alias(out_time),
-                *[F.col(f"_last._v.{v}").alias(v) for v in vals])
-    )
+    if bucket == "auto":
+        bucket = None if dict(requests.dtypes)[req_time] == "date" else "day"
+    if bucket is None:
+        w = Window.partitionBy(*ent).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        filled = both.withColumn("_last", F.last("_payload", ignorenulls=True).over(w))
+    else:
+        both = both.withColumn("_bk", F.date_trunc(bucket, F.col("_t")))
+        wb = Window.partitionBy(*ent, "_bk").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        inner = both.withColumn("_in", F.last("_payload", ignorenulls=True).over(wb))
+        # last event of each bucket, carried to later buckets (rows per entity = buckets)
+        per_b = ev.withColumn("_bk", F.date_trunc(bucket, F.col("_t"))).groupBy(*ent, "_bk").agg(
+            F.max_by("_payload", "_t").alias("_blast"))
+        keys_b = both.select(*ent, "_bk").distinct()
+        wc = Window.partitionBy(*ent).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+        carry = keys_b.join(per_b, [*ent, "_bk"], "left").select(
+            *ent, "_bk", F.last("_blast", ignorenulls=True).over(wc).alias("_carry"))
+        filled = inner.join(carry, [*ent, "_bk"], "left").withColumn("_last", F.coalesce("_in", "_carry"))
+    filled = (filled.where(F.col("_k") == (1 - ev_kind))
+              .select(*ent, F.col("_t").alias("_rt"), F.col("_last._t").alias(out_time),
+                      *[F.col(f"_last._v.{v}").alias(v) for v in vals]))
     cond = [requests[c].eqNullSafe(filled[c]) for c in ent] + [requests[req_time] == filled["_rt"]]
     out = requests.join(filled, cond, "left")
     return out.drop(*[filled[c] for c in ent]).drop("_rt")

@@ -317,3 +317,26 @@ def test_exact_quantiles_both_plans(spark, forced):
     assert glob == pytest.approx(float(np.median([v for _, v in data if v is not None])))
     modes = {r.g: r.mode_x for r in group_mode(df, ["g"], "x").collect()}
     assert modes["hot"] == 1.5 and modes["small"] == 1.0
+
+
+@pytest.mark.parametrize("bucket", ["day", "hour", None])
+def test_asof_timestamps_bucketed(spark, bucket):
+    import random
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    ev = [(rnd.choice([1, 2]), base + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 5)), float(i)) for i in range(300)]
+    rq = [(rnd.choice([1, 2, 3]), base + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 6))) for _ in range(200)]
+    evdf = spark.createDataFrame(ev, "e int, t timestamp_ntz, v double")
+    rqdf = spark.createDataFrame(rq, "e int, t timestamp_ntz")
+    out = pit.asof_last_before(rqdf, evdf, "e", "t", "t", values=["v"], out_time="lt", bucket=bucket)
+    got = sorted((r.e, r.t, r.lt, r.v) for r in out.collect())
+    exp = []
+    for e, t in rq:
+        prior = [x for x in ev if x[0] == e and x[1] < t]
+        if prior:
+            lt = max(x[1] for x in prior)
+            v = max(x[2] for x in prior if x[1] == lt)
+            exp.append((e, t, lt, v))
+        else:
+            exp.append((e, t, None, None))
+    assert got == sorted(exp)
