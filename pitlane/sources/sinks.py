@@ -27,24 +27,32 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 
 
 def day_documents(games: DataFrame, date: str, game_fields, props: DataFrame | None = None,
-                  prop_fields=None, prop_order=None, top_k: int = 5) -> DataFrame:
+                  prop_fields=None, prop_order=None, top_k: int = 5, max_items: int = 5000) -> DataFrame:
     """A5: one nested document per day: `games[]` sorted, plus the day's `top_k`
-    props.  A day holds at most one game per team pair, so the array is
-    bounded by the league size; props are cut to top_k per day with a
-    WindowGroupLimit before they are gathered."""
+    props.  A day's document is split into `part`s of about `max_items`
+    games (hash of the game, part count from the day's size), so a hot day
+    never becomes one unbounded row; nothing is dropped, and an ordinary day
+    is the single part 0.  Props are cut to top_k per day by a
+    WindowGroupLimit before they are gathered and ride on part 0."""
     from pyspark.sql import Window
-    g = games.groupBy(date).agg(F.array_sort(F.collect_list(F.struct(*game_fields))).alias("games"))
+    sizes = games.groupBy(date).agg(F.ceil(F.count(F.lit(1)) / max_items).cast("int").alias("_parts"))
+    g = games.join(sizes, date)
+    part = F.when(F.col("_parts") <= 1, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in game_fields]), F.col("_parts")).cast("int"))
+    g = g.withColumn("part", part).groupBy(date, "part").agg(
+        F.array_sort(F.collect_list(F.struct(*game_fields))).alias("games"))
     if props is None:
         return g
     w = Window.partitionBy(date).orderBy(*prop_order)
     top = props.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top_k)
     p = top.groupBy(date).agg(F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("rank"), *prop_fields))).alias("top_props"))
-    return merge_documents(g, p, date, "top_props")
+    return merge_documents(g, p.withColumn("part", F.lit(0)), [date, "part"], "top_props")
 
 
-def merge_documents(first: DataFrame, second: DataFrame, key: str, field: str) -> DataFrame:
+def merge_documents(first: DataFrame, second: DataFrame, key, field: str) -> DataFrame:
     """Attach the second document's array as `field`; empty array if absent."""
-    j = first.join(second.select(key, field), key, "left")
+    keys = [key] if isinstance(key, str) else list(key)
+    j = first.join(second.select(*keys, field), keys, "left")
     empty = F.array().cast(second.schema[field].dataType)
     return j.withColumn(field, F.coalesce(F.col(field), empty))
 

@@ -340,3 +340,13 @@ def test_asof_timestamps_bucketed(spark, bucket):
         else:
             exp.append((e, t, None, None))
     assert got == sorted(exp)
+
+
+def test_day_documents_split_hot_day(spark):
+    from pitlane.sources.sinks import day_documents
+    games = spark.createDataFrame([(D(2024, 1, 1), f"g{i:03d}", i) for i in range(250)] + [(D(2024, 1, 2), "x", 1)],
+                                  "day date, game_id string, pts int")
+    docs = day_documents(games, "day", ["game_id", "pts"], max_items=100).collect()
+    hot = [r for r in docs if r.day == D(2024, 1, 1)]
+    assert len(hot) == 3 and sum(len(r.games) for r in hot) == 250   # split, nothing dropped
+    assert [len(r.games) for r in docs if r.day == D(2024, 1, 2)] == [1]
