@@ -2,9 +2,9 @@
 
 Metrics are aggregates (map-side partial, one final row).  AUC needs ranks;
 instead of a global rank window (one task, trap T8) positives and negatives
-are counted per probability value, prefix counts over value buckets come
-from a window over at most `buckets` rows, and only ties inside a bucket use
-a window partitioned by bucket."""
+are counted per probability value, prefix counts over 2^20 value buckets come
+from one window over at most that many (small) bucket rows, and only values
+inside a bucket use a window partitioned by bucket."""
 
 from __future__ import annotations
 
@@ -136,9 +136,12 @@ def threshold_sweep(df: DataFrame, label: str, prob: str, thresholds: Sequence[f
     return class_metrics(t, label, prob, F.col("threshold"), group=["threshold"])
 
 
-def prob_metrics(df: DataFrame, label: str, prob: str, eps: float = 1e-15, buckets: int = 4096) -> DataFrame:
+def prob_metrics(df: DataFrame, label: str, prob: str, eps: float = 1e-15, buckets: int = 1 << 20) -> DataFrame:
     """M6: log-loss (probabilities clipped to [eps, 1-eps]), Brier score and
     ROC AUC = P(score_pos > score_neg) + 0.5 P(tie) (mid-ranks)."""
+    # rows missing a label or a probability are not scored (greatest/least
+    # would otherwise turn a NULL probability into eps)
+    df = df.where(F.col(label).isNotNull() & F.col(prob).isNotNull())
     y = F.col(label).cast("double")
     p = F.col(prob).cast("double")
     pc = F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))

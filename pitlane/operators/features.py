@@ -164,16 +164,20 @@ def skew_correct(df: DataFrame, cols: Sequence[str], limit: float = 0.75, lam: f
 
 # --- splits and weights -----------------------------------------------------
 
-def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, buckets: int = 1024,
-                     out: str = "split") -> DataFrame:
+def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, buckets: int | None = None,
+                     out: str = "split", rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Exact, repeatable per-label split: rows ordered by md5 of the key
     within each label; the first n - ceil(test_share * n) are 'train'.
 
     The rank inside a label is computed without a window over the whole label
     (a two-valued label would put half the data in one task): rows are hashed
-    into `buckets` ordered buckets, bucket sizes are counted, their running
-    offsets come from a window over at most `buckets` rows per label, and only
-    the rank within a (label, bucket) uses a row window."""
+    into ordered buckets (enough for about `rows_per_bucket` rows each), bucket
+    sizes are counted, their running offsets come from a window over the
+    bucket rows of a label, and only the rank within a (label, bucket) uses a
+    row window."""
+    if buckets is None:  # about rows_per_bucket rows per bucket, at least 1024
+        n = df.count()
+        buckets = int(min(2 ** 20, max(1024, -(-n // rows_per_bucket))))
     h = hash_unit(F.col(key))
     base = df.withColumn("_h", h).withColumn("_bk", F.floor(F.col("_h") / F.lit((2 ** 32) // buckets)).cast("int"))
     cnt = base.groupBy(label, "_bk").agg(F.count(F.lit(1)).alias("_c"))

@@ -23,10 +23,49 @@ OUTCOME_DEFAULT = "Missed Playoffs"
 CONTENDER_MARKERS = ["Won Finals", "Lost Finals", "Conf. Finals"]
 
 
-def rank_in_group(df: DataFrame, group: str, metric: str, out: str, ascending: bool = True) -> DataFrame:
-    """pandas rank(method='min') per group = SQL rank()."""
+# Largest group (rows) the plain rank window may hold in one task.
+MAX_ROWS_PER_RANK_TASK = 2_000_000
+
+
+def rank_in_group(df: DataFrame, group: str, metric: str, out: str, ascending: bool = True,
+                  max_rows_per_task: int | None = -1, buckets: int = 4096) -> DataFrame:
+    """pandas rank(method='min') per group = SQL rank() (NULLs first when
+    ascending, last when descending, as Spark orders them).
+
+    A one-number check picks the plan.  Small groups: the rank window.  A hot
+    group (numeric metric): rank = rows strictly before in value-range
+    buckets (counted per bucket, prefix over <= `buckets` rows per group) +
+    rank inside the bucket (a window per (group, bucket)); ties share a
+    bucket, so ranks stay exact."""
+    if max_rows_per_task == -1:
+        max_rows_per_task = MAX_ROWS_PER_RANK_TASK
     o = F.col(metric).asc() if ascending else F.col(metric).desc()
-    return df.withColumn(out, F.rank().over(Window.partitionBy(group).orderBy(o)))
+    if max_rows_per_task is not None:
+        biggest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= max_rows_per_task:
+            return df.withColumn(out, F.rank().over(Window.partitionBy(group).orderBy(o)))
+    v = F.col(metric).cast("double") * (1.0 if ascending else -1.0)
+    base = df.withColumn("_rv", v)
+    st = base.groupBy(group).agg(F.min("_rv").alias("_mn"), F.max("_rv").alias("_mx"),
+                                 F.count_if(F.col("_rv").isNull()).alias("_nnull"),
+                                 F.count("_rv").alias("_nval"))
+    base = base.join(st, group)
+    span = F.col("_mx") - F.col("_mn")
+    # (least() skips NULLs, so NULL metrics get no bucket explicitly)
+    bk = (F.when(F.col("_rv").isNull(), F.lit(None))
+          .when(span > 0, F.least(F.lit(buckets - 1), F.floor((F.col("_rv") - F.col("_mn")) / span * buckets)))
+          .otherwise(0))
+    base = base.withColumn("_bk", bk.cast("int"))
+    cnt = base.where(F.col("_rv").isNotNull()).groupBy(group, "_bk").agg(F.count(F.lit(1)).alias("_c"))
+    cnt = cnt.select(group, "_bk", F.coalesce(F.sum("_c").over(
+        Window.partitionBy(group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    j = base.join(cnt, [group, "_bk"], "left")
+    inner = F.rank().over(Window.partitionBy(group, "_bk").orderBy("_rv"))
+    # NULL metric: Spark puts NULLs first ascending (rank 1) and last descending
+    null_rank = F.lit(1) if ascending else F.col("_nval") + 1
+    shift = F.col("_nnull") if ascending else F.lit(0)
+    r = F.when(F.col("_rv").isNull(), null_rank).otherwise(shift + F.col("_off") + inner)
+    return j.withColumn(out, r.cast("int")).drop("_rv", "_mn", "_mx", "_nnull", "_nval", "_bk", "_off")
 
 
 def outcome_label(text: Column, rules=OUTCOME_RULES, default: str = OUTCOME_DEFAULT) -> Column:
@@ -89,9 +128,11 @@ def top1_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column]
 
 
 def group_report(df: DataFrame, group: str, label: str, top_label: str, name: str, out: str = "champion") -> DataFrame:
-    """Every row with its group's winner attached (no loop per group)."""
-    w = Window.partitionBy(group)
-    return df.withColumn(out, F.max(F.when(F.col(label) == top_label, F.col(name))).over(w))
+    """Every row with its group's winner attached (no loop per group).  The
+    winner is a per-group aggregate (partial, map-side) joined back, not a
+    window over the whole group."""
+    win = df.groupBy(group).agg(F.max(F.when(F.col(label) == top_label, F.col(name))).alias(out))
+    return df.join(win, group, "left")
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -350,3 +350,12 @@ def test_day_documents_split_hot_day(spark):
     hot = [r for r in docs if r.day == D(2024, 1, 1)]
     assert len(hot) == 3 and sum(len(r.games) for r in hot) == 250   # split, nothing dropped
     assert [len(r.games) for r in docs if r.day == D(2024, 1, 2)] == [1]
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_rank_in_group_bucketed_equals_window(spark, ascending):
+    data = [("s1", float(v % 17) if v % 11 else None) for v in range(300)] + [("s2", 1.0), ("s2", 1.0), ("s2", 0.5)]
+    df = spark.createDataFrame(data, "g string, x double").withColumn("id", F.monotonically_increasing_id())
+    a = {r.id: r.rk for r in K.rank_in_group(df, "g", "x", "rk", ascending, max_rows_per_task=None, buckets=8).collect()}
+    b = {r.id: r.rk for r in K.rank_in_group(df, "g", "x", "rk", ascending, max_rows_per_task=10**9).collect()}
+    assert a == b
