@@ -7,20 +7,22 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_compare import duck, run_pair
-from pitlane.operators import aggregate, pit
+from pitlane.operators import aggregate, pit, ranking
 
 HOT = ["rolling_avg_incl", "rolling_avg_excl", "rolling_avg_full", "team_features_with_rest", "strength_of_schedule",
        "player_rolling", "blended_form", "match_matrix", "group_median_mode", "describe", "fill_group_median",
-       "target_encode_oof", "robust_scale", "interval_empirical", "miss_analysis"]
+       "target_encode_oof", "robust_scale", "interval_empirical", "miss_analysis", "rank_in_group",
+       "composite_rank_score", "top1_per_group", "group_report", "value_counts"]
 
 
 @pytest.fixture(scope="module")
 def forced():
-    old = (pit.MAX_ROWS_PER_WINDOW_TASK, aggregate.MAX_ROWS_PER_QUANTILE_GROUP)
+    old = (pit.MAX_ROWS_PER_WINDOW_TASK, aggregate.MAX_ROWS_PER_QUANTILE_GROUP, ranking.MAX_ROWS_PER_RANK_TASK)
     pit.MAX_ROWS_PER_WINDOW_TASK = 0
     aggregate.MAX_ROWS_PER_QUANTILE_GROUP = 0
+    ranking.MAX_ROWS_PER_RANK_TASK = 0
     yield
-    pit.MAX_ROWS_PER_WINDOW_TASK, aggregate.MAX_ROWS_PER_QUANTILE_GROUP = old
+    pit.MAX_ROWS_PER_WINDOW_TASK, aggregate.MAX_ROWS_PER_QUANTILE_GROUP, ranking.MAX_ROWS_PER_RANK_TASK = old
 
 
 @pytest.mark.parametrize("name", HOT)
