@@ -422,16 +422,32 @@ def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str,
 
 
 def cumulative_prior(df: DataFrame, entity, order: Sequence[str], value: str, out: str = "volatility",
-                     stat: str = "stddev_samp", default: float | None = 11.0, bucket: Column | None = None) -> DataFrame:
+                     stat: str = "stddev_samp", default: float | None = 11.0, bucket: Column | None = None,
+                     max_rows_per_task: int | None = -1) -> DataFrame:
     """F8: statistic over ALL prior rows of the entity (rows unbounded preceding
     to 1 preceding), e.g. sample std of points, with a default when undefined.
 
     Unbounded frames are prefix sums: per (entity, bucket) totals (count, sum,
     sum of squares) -> running totals over buckets (rows per entity = buckets)
     -> joined to the rows and completed inside the bucket.  No task ever holds
-    a whole entity."""
+    a whole entity.  As for rolling frames, a one-number check runs the plain
+    entity window when every entity fits one task; the bucketed plan
+    (default bucket: the first order column, e.g. the day) otherwise."""
     ent = _cols(entity)
-    b = bucket if bucket is not None else _default_bucket(order[0])
+    if max_rows_per_task == -1:
+        max_rows_per_task = MAX_ROWS_PER_WINDOW_TASK
+    if max_rows_per_task is not None:
+        biggest = df.groupBy(*ent).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= max_rows_per_task:
+            w = Window.partitionBy(*ent).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+            x = F.col(value).cast("double")
+            fn = {"stddev_samp": F.stddev_samp(x), "stddev_pop": F.stddev_pop(x), "avg": F.avg(x),
+                  "count": F.count(x)}[stat]
+            v = fn.over(w)
+            if default is not None:
+                v = F.coalesce(v, F.lit(default))
+            return df.withColumn(out, v)
+    b = bucket if bucket is not None else F.col(order[0])
     x = F.col(value).cast("double")
     base = df.withColumn("_b", b).withColumn("_x", x)
     per_b = base.groupBy(*ent, "_b").agg(F.count("_x").alias("_n"), F.sum("_x").alias("_s"),

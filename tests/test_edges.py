@@ -113,10 +113,11 @@ def test_rolling_rows_matches_plain_window(spark, include_current, full_only, fo
             assert got[(e, x[2])] == pytest.approx(exp) if exp is not None else got[(e, x[2])] is None
 
 
-def test_cumulative_prior_matches_brute_force(spark):
-    data = [(1, D(2019 + i // 5, 1 + i % 12, 1), f"m{i:02d}", float((i * 7) % 11)) for i in range(25)]
+@pytest.mark.parametrize("forced", [None, 10**9])
+def test_cumulative_prior_matches_brute_force(spark, forced):
+    data = [(1, D(2019 + i // 5, 1 + i % 12, 1 + i % 2), f"m{i:02d}", float((i * 7) % 11)) for i in range(25)]
     df = spark.createDataFrame(data, "e int, d date, mid string, v double")
-    out = {r.mid: r.vol for r in pit.cumulative_prior(df, "e", ["d", "mid"], "v", "vol").collect()}
+    out = {r.mid: r.vol for r in pit.cumulative_prior(df, "e", ["d", "mid"], "v", "vol", max_rows_per_task=forced).collect()}
     import statistics
     seq = sorted(data, key=lambda x: (x[1], x[2]))
     for i, x in enumerate(seq):

@@ -11,7 +11,8 @@ from pitlane.operators import aggregate, pit, ranking
 
 HOT = ["rolling_avg_incl", "rolling_avg_excl", "rolling_avg_full", "team_features_with_rest", "strength_of_schedule",
        "player_rolling", "blended_form", "match_matrix", "group_median_mode", "describe", "fill_group_median",
-       "target_encode_oof", "robust_scale", "interval_empirical", "miss_analysis", "rank_in_group",
+       "target_encode_oof", "robust_scale", "interval_empirical", "miss_analysis", "rank_in_group", "volatility",
+       "composite_sigma",
        "composite_rank_score", "top1_per_group", "group_report", "value_counts"]
 
 
