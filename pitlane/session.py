@@ -26,11 +26,18 @@ _DEFAULTS = {
 
 
 def get_session(master: str | None = None, app: str = "pitlane", extra: dict | None = None) -> SparkSession:
+    """Return the active session, or create one.
+
+    Tuning defaults are applied only when this call creates the session (local
+    runs and tests); an existing cluster session keeps its own settings.  The
+    settings results depend on (`_REQUIRED`) are always applied."""
+    existing = SparkSession.getActiveSession()
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
-    conf.update(_REQUIRED)
+    conf = dict(_REQUIRED)
+    if existing is None:
+        conf = {**_DEFAULTS, **conf}
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
