@@ -24,3 +24,25 @@ def q_stream(T):
     delta_load_stream(T.spark, src, logs.schema, target, ["game_id", "player_id", "line_no"], ckpt)
     logs.where(c("game_date") >= cut).write.mode("append").parquet(src)
     return delta_load_stream(T.spark, src, logs.schema, target, ["game_id", "player_id", "line_no"], ckpt)
+
+
+from pitlane.plans.q_eval import _M1_SQL  # noqa: E402
+from pitlane.sources.sinks import write_snapshot  # noqa: E402
+from pitlane.streaming.incremental import grade_stream  # noqa: E402
+
+
+@register("stream_grade_next_day", f"WITH {_M1_SQL} SELECT * FROM graded")
+def q_stream_grade(T):
+    """M1 as a stream: results land in two drops (before / from 1997); each
+    availableNow run grades the prediction-history snapshot with them."""
+    base = scratch_dir(T.spark, "grade-stream")
+    hist, src, ckpt = f"{base}/history", f"{base}/results", f"{base}/_checkpoint"
+    h = T.fx_prediction_history.withColumn("correct_winner", F.lit(None).cast("boolean")).withColumn(
+        "error_margin", F.lit(None).cast("double"))
+    write_snapshot(h, hist)
+    games = T.fx_games.select("game_id", "status", "home_pts", "away_pts", "game_date_et")
+    cut = F.lit("1997-01-01").cast("date")
+    games.where(c("game_date_et") < cut).write.mode("append").parquet(src)
+    grade_stream(T.spark, src, games.schema, hist, ckpt)
+    games.where(c("game_date_et") >= cut).write.mode("append").parquet(src)
+    return grade_stream(T.spark, src, games.schema, hist, ckpt)
