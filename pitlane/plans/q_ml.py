@@ -9,7 +9,7 @@ from pitlane.operators import pit
 from pitlane.operators.evaluate import split_scores
 from pitlane.operators.features import robust_scale, stratified_split
 from pitlane.operators.joins import or_key_join
-from pitlane.plans.q_features import _houses, _te, match_matrix
+from pitlane.plans.q_features import _te, match_matrix
 from pitlane.plans.q_agg import _ranks
 from pitlane.plans.registry import register
 from pitlane.session import materialize
@@ -172,5 +172,3 @@ def q_m3(T):
         F.avg(F.abs(c("pred_margin") - c("margin"))).alias("mae_margin"),
         F.avg(F.abs(c("pred_total") - c("total"))).alias("mae_total"))
 
-
-del _houses

@@ -3,7 +3,6 @@ checkpoint folder and the query returns what was written, read back."""
 
 from pyspark.sql import functions as F
 
-from pitlane.functions.scalars import norm_status
 from pitlane.operators.evaluate import back_transform
 from pitlane.plans.q_features import _TE_SQL, _te
 from pitlane.plans.registry import register
@@ -114,5 +113,3 @@ def q_a8(T):
     view = pit.rolling_rows(rows, "team_id", ["game_date_et", "game_id"], {"rolling_pace_10": "pace_est"}, 10)
     return SK.refresh_snapshot(view, SK.scratch_dir(T.spark, "adv-view"))
 
-
-del norm_status
