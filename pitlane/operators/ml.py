@@ -57,12 +57,19 @@ def fit_win(train: DataFrame, features: Sequence[str], label: str, reg: float =
 
 
 def fit_ridge(train: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0) -> PipelineModel:
-    """K2: mean impute, standardise, ridge.  scikit-learn's alpha on the summed
-    loss equals Spark's regParam = alpha / n on the mean loss."""
+    """K2: mean impute, standardise, ridge with scikit-learn's alpha.
+
+    Spark minimises (1/2n)||y - Xb||^2 with the label standardised when a
+    penalty is set (glmnet convention), so the penalty acting on the original
+    scale is regParam / std_pop(y).  regParam = alpha * std_pop(y) / n
+    therefore solves (Xc'Xc + alpha I) b = Xc'yc, scikit-learn's Ridge
+    (checked against a Spark Gram aggregate in tests/test_ml.py)."""
     d = _cast_double(train, list(features) + [label])
-    n = d.count()
-    lr = LinearRegression(featuresCol="features", labelCol=label, regParam=alpha / max(n, 1), elasticNetParam=0.0,
-                          standardization=False)
+    st = d.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
+    n, sd = max(st["n"], 1), (st["sd"] or 0.0)
+    reg = alpha * sd / n if sd > 0 else alpha / n
+    lr = LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0,
+                          standardization=False, solver="normal")
     return Pipeline(stages=_prep(features) + [lr]).fit(d)
 
 
