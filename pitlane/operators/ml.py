@@ -46,13 +46,18 @@ def _cast_double(df, cols):
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def fit_win(train: DataFrame, features: Sequence[str], label: str, reg: float = 0.0, balanced: bool = True) -> PipelineModel:
-    """K1: standardised logistic regression with balanced class weights."""
+def fit_win(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0, balanced: bool = True) -> PipelineModel:
+    """K1: standardised logistic regression with balanced class weights and
+    scikit-learn's L2 strength C.  scikit-learn minimises
+    ||b||^2 / 2 + C * sum(w_i loss_i); Spark minimises sum(w_i loss_i) / sum(w)
+    + regParam ||b||^2 / 2, so regParam = 1 / (C * sum(w)) (sum(w) = n for
+    balanced weights).  liblinear also penalises the intercept; Spark does not."""
     d = _cast_double(train, list(features) + [label])
     if balanced:
         d = balanced_weights(d, label)
-    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=reg, maxIter=100,
-                            weightCol="_w" if balanced else None)
+    sw = d.agg(F.sum("_w") if balanced else F.count(F.lit(1))).first()[0] or 1.0
+    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (C * sw), maxIter=100,
+                            standardization=False, weightCol="_w" if balanced else None)
     return Pipeline(stages=_prep(features) + [lr]).fit(d)
 
 
