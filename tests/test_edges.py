@@ -360,3 +360,30 @@ def test_rank_in_group_bucketed_equals_window(spark, ascending):
     a = {r.id: r.rk for r in K.rank_in_group(df, "g", "x", "rk", ascending, max_rows_per_task=None, buckets=8).collect()}
     b = {r.id: r.rk for r in K.rank_in_group(df, "g", "x", "rk", ascending, max_rows_per_task=10**9).collect()}
     assert a == b
+
+
+def test_evolve_schema_edges(spark):
+    df = spark.createDataFrame([(1, "a")], "ID int, Name string")
+    out = U.evolve_schema(df, renames={"player_id": ["id", "person_id"], "name": []},
+                          add={"team_id": (None, "int"), "NAME": ("x", "string")})
+    assert out.columns == ["player_id", "name", "team_id"]   # alias renamed, case fixed, existing column not re-added
+    assert rows(out) == [(1, "a", None)]
+
+
+def test_quality_checks_flags_problems(spark):
+    from pitlane.operators.quality import quality_checks
+    df = spark.createDataFrame([(1, D(2024, 1, 1)), (1, D(2024, 1, 2)), (None, D(2024, 1, 3))], "k int, d date")
+    got = {r.check: (r.value, r.ok) for r in quality_checks(df, "t", ["k"], date="d", as_of="2024-01-05",
+                                                            expected_columns=["k", "d", "extra"]).collect()}
+    assert got["row_count"] == (3, True) and got["null_keys"] == (1, False)
+    assert got["duplicate_keys"] == (1, False) and got["recent_rows"] == (3, True)
+    assert got["column_parity"] == (1, False)
+
+
+def test_update_from_rejects_duplicate_source_keys(spark):
+    t = spark.createDataFrame([(1, 10)], "k int, v int")
+    s = spark.createDataFrame([(1, 20), (1, 30)], "k int, v int")
+    with pytest.raises(Exception, match="duplicate key"):
+        U.update_from(t, s, "k", {"v": "v"}).collect()
+    ok = spark.createDataFrame([(1, 20), (2, 30)], "k int, v int")
+    assert rows(U.update_from(t, ok, "k", {"v": "v"})) == [(1, 20)]   # no row added
