@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -13,8 +12,9 @@ _REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Tuning defaults for local runs; a cluster submit overrides them.
-_DEFAULTS = {
+# Tuning for a local run, used by the tests and bench.py only: a cluster submit
+# brings its own, and get_session must not override it.
+LOCAL_TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,18 +28,12 @@ _DEFAULTS = {
 def get_session(master: str | None = None, app: str = "pitlane", extra: dict | None = None) -> SparkSession:
     """Return the active session, or create one.
 
-    Tuning defaults are applied only when this call creates the session (local
-    runs and tests); an existing cluster session keeps its own settings.  The
-    settings results depend on (`_REQUIRED`) are always applied."""
-    existing = SparkSession.getActiveSession()
+    Sets only what results depend on (`_REQUIRED`) and what the caller passes
+    in `extra`; settings of a spark-submit or of a running session stay."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(_REQUIRED)
-    if existing is None:
-        conf = {**_DEFAULTS, **conf}
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in {**_REQUIRED, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in _REQUIRED.items():
@@ -48,15 +42,22 @@ def get_session(master: str | None = None, app: str = "pitlane", extra: dict | N
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that they share local folders."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """Return the folder that `spark.checkpoint.dir` names, which driver and executors share.
 
-    On a cluster `spark.checkpoint.dir` names a shared folder and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
-    """
+    Only where it is unset and the master is local (tests) a scratch folder is
+    made; on a cluster an unset folder is an error, as no local folder is shared."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="pitlane-ckpt-", dir=os.environ.get("PITLANE_SCRATCH", "/tmp"))
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="pitlane-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

@@ -13,8 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from pitlane.session import get_session
-    s = get_session("local[*]", extra={"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+    from pitlane.session import LOCAL_TUNING, get_session
+    s = get_session("local[*]", extra={**LOCAL_TUNING, "spark.driver.memory": "8g",
                                        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="pitlane-test-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
