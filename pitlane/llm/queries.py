@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import license_scan, secret_scan
+from pitlane.llm import license_scan, secret_scan, token_counts, topk_search, url_filter
 from pitlane.llm.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,5 +37,27 @@ def op5_license_scan(spark, sf_dir):
     return license_scan.license_digest(license_scan.license_spans(_table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
+@_query
+def op6_url_filter(spark, sf_dir):
+    """A verdict for every page's URL."""
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), "page_id", "url")
+
+
+@_query
+def op7_topk_search(spark, sf_dir):
+    """The 5 largest integer inner products of every 50th embedding with all others."""
+    vectors = topk_search.integer_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = topk_search.top_k(vectors, vectors.where("id % 50 = 0"), 5)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@_query
+def op8_token_counts(spark, sf_dir):
+    """Byte-level BPE tokens of every document."""
+    import public_tokenizers
+
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
+
+
 #: The base columns need regular expressions with places; the labels of the method's own templates are
 #: approximate matches. SQL states neither, so op3 and op5 are tested against brute force.
