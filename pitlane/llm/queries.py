@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitlane.llm import license_scan, secret_scan, token_counts, topk_search, url_filter
+from pitlane.llm import license_scan, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,21 @@ def op3_secret_scan(spark, sf_dir):
     return secret_scan.secret_digest(secret_scan.scan_versions(docs, "doc_id", "text", scratch_path(spark, "ledger")))
 
 
+#: A document is toxic from this score on.
+TOXIC_FROM = 0.3
+
+
+@_query
+def op4_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the labels of three quarters of them."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    fold = lambda doc: F.crc32(doc.cast("string")) % 4
+    model = toxicity.fit_toxicity(docs, labels, "doc_id", "text", "toxic", lambda doc: fold(doc) != 2)
+    scored = toxicity.score_toxicity(docs, "doc_id", "text", model)
+    return scored.select(F.col("id").alias("doc_id"), F.coalesce(fold(F.col("id")) == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 @_query
 def op5_license_scan(spark, sf_dir):
     """Licence phrases and templates in every document."""
