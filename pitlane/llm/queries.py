@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import license_scan, secret_scan, token_counts, topk_search, toxicity, url_filter
+from pitlane.llm import decontaminate, license_scan, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item, also with other numbers, names or units."""
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, "doc_id", "text", benchmark, "item_id", "text")
+
+
 @_query
 def op3_secret_scan(spark, sf_dir):
     """Secrets of every document, through a fresh ledger in the shared folder."""
