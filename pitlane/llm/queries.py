@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import decontaminate, license_scan, secret_scan, token_counts, topk_search, toxicity, url_filter
+from pitlane.llm import decontaminate, license_scan, line_dedup, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,5 +82,11 @@ def op8_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_query
+def op9_line_dedup(spark, sf_dir):
+    """Every document without the lines that stand, alike or nearly, elsewhere before."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 #: The base columns need regular expressions with places; the labels of the method's own templates are
 #: approximate matches. SQL states neither, so op3 and op5 are tested against brute force.
