@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import decontaminate, license_scan, line_dedup, secret_scan, token_counts, topk_search, toxicity, url_filter
+from pitlane.llm import decontaminate, jaccard_join, license_scan, line_dedup, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_jaccard_join(spark, sf_dir):
+    """Groups of documents whose sets of 5-word shingles are alike to 0.75 or more."""
+    return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 @_query
 def op2_decontamination(spark, sf_dir):
     """Documents that hold a benchmark item, also with other numbers, names or units."""
