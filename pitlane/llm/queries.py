@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import decontaminate, jaccard_join, license_scan, line_dedup, secret_scan, token_counts, topk_search, toxicity, url_filter
+import corpus_pipeline
+from pitlane.llm import decontaminate, jaccard_join, license_scan, line_dedup, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,10 +46,6 @@ def op3_secret_scan(spark, sf_dir):
     return secret_scan.secret_digest(secret_scan.scan_versions(docs, "doc_id", "text", scratch_path(spark, "ledger")))
 
 
-#: A document is toxic from this score on.
-TOXIC_FROM = 0.3
-
-
 @_query
 def op4_toxicity(spark, sf_dir):
     """Toxicity of every document, learnt from the labels of three quarters of them."""
@@ -57,7 +54,7 @@ def op4_toxicity(spark, sf_dir):
     model = toxicity.fit_toxicity(docs, labels, "doc_id", "text", "toxic", lambda doc: fold(doc) != 2)
     scored = toxicity.score_toxicity(docs, "doc_id", "text", model)
     return scored.select(F.col("id").alias("doc_id"), F.coalesce(fold(F.col("id")) == 2, F.lit(False)).alias("held_out"), "score",
-                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+                         (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"))
 
 
 @_query
@@ -80,6 +77,21 @@ def op7_topk_search(spark, sf_dir):
     return found.withColumnRenamed("id", "vec_id")
 
 
+ORACLES["op7_topk_search"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM (SELECT * FROM v WHERE vec_id % 50 = 0) q JOIN v c ON c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 @_query
 def op8_token_counts(spark, sf_dir):
     """Byte-level BPE tokens of every document."""
@@ -94,5 +106,18 @@ def op9_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
-#: The base columns need regular expressions with places; the labels of the method's own templates are
-#: approximate matches. SQL states neither, so op3 and op5 are tested against brute force.
+@_query
+def op10_mixing(spark, sf_dir):
+    """The readings of all documents at their sources' mixing weights."""
+    realised, _ = mixing.realise(_table(spark, sf_dir, "documents"), "doc_id", "source", "text")
+    return mixing.schedule(realised, "doc_id", "source")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+#: No SQL is given: the base spans of op3 and op5 need places of pattern matches, their further spans and labels, op4 and op6
+#: fitted or approximate matching, op1 and op9 set joins and components that are too slow in SQL on whole tables, op2
+#: look-behind patterns, op8 a tokenizer, op10 this engine's hashes. Each is tested against brute force, op4 and op6's trees
+#: by held-out accuracy.

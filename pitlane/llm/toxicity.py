@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlane.llm.shared import stored, text_chunks
 from pitlane.llm.words import LOWER, span_hashes, word_spans
@@ -20,6 +21,8 @@ POSITIVES, UNLABELLED = 4_000, 8_000
 MOST_FEATURES, LEAST_Z = 2_000, 4.0
 #: Adam steps over the whole sample, their size, and the weight of the squared norm.
 STEPS, RATE, SHRINK = 400, 0.05, 1e-4
+#: A document is toxic from this score on.
+TOXIC_FROM = 0.3
 #: Feature kinds: whole words, and their first so many bytes.
 PREFIXES = (4, 5, 6, 7)
 
@@ -184,17 +187,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     return ToxicityModel(features, w[:-1], float(w[-1]), prior)
 
 
-def score_toxicity(docs: DataFrame, id_col: str, text_col: str, model: ToxicityModel) -> DataFrame:
-    """(id, score) for each row: every whole text is read where it lies, without a shuffle.
+def with_score(docs: DataFrame, text_col: str, model: ToxicityModel, score_col: str = "score") -> DataFrame:
+    """`docs` with the score of each row: every whole text is read where it lies, without a shuffle.
 
     A null or empty text has the score of a text without any feature; null,
-    repeated and tied ids stay rows of their own."""
+    repeated and tied ids stay rows of their own; a column named like the new
+    one is replaced."""
+    docs = docs.drop(score_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at, names = docs.columns.index(text_col), [*docs.columns, score_col]
 
     def run(batches):
         for batch in batches:
-            scores = [shared.value.score(data, offsets) for _, _, data, offsets in text_chunks(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores) if scores else np.zeros(0))], ["id", "score"])
+            scores = [shared.value.score(data, offsets) for _, _, data, offsets in text_chunks(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else np.zeros(0))], names)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, score double")
+
+def score_toxicity(docs: DataFrame, id_col: str, text_col: str, model: ToxicityModel) -> DataFrame:
+    """(id, score) for each row, as `with_score` gives it."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return with_score(rows, "text", model).select("id", "score")
