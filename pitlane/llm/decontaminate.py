@@ -44,30 +44,35 @@ def canonical(word: Column) -> Column:
 
 
 def _windows(df: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
-    """One row for each template window: `keep`, `size`, `at` (from 0), `h`, and `win`, its words.
+    """One row for each template window: `keep`, its hash `h`, and what `_placed` needs.
 
     Texts are cut into overlapping pieces of PIECE window starts first, so that
     what one row explodes into is bounded however long a text is."""
     n = F.size("w")
     pieces = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(PIECE)), lambda o: F.struct(o.alias("off"), F.slice("w", o + 1, PIECE + WINDOW - 1).alias("w")))
     df = df.withColumn("pieces", pieces).select(*keep, F.explode_outer("pieces").alias("piece")).select(*keep, "piece.off", "piece.w")
-    df = df.withColumn("cw", F.transform("w", canonical))
-    df = df.withColumn("hw", F.transform("cw", lambda w: F.xxhash64(w)))
 
-    def of_size(k: int) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.xxhash64(F.slice("hw", i, k)))
+    def of_size(hashed: Column, k: int) -> Column:
+        hashes = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.xxhash64(F.slice(hashed, i, k)))
         return F.when(n >= k, hashes).otherwise(F.array().cast("array<bigint>"))
 
-    df = df.select(*keep, "off", "w", "cw", F.concat(*map(of_size, sizes)).alias("hs"))
+    # the word hashes are bound to a lambda's variable: as a column they would be put in where they are used, and so made anew for each window
+    hashed = F.transform("w", lambda w: F.xxhash64(canonical(w)))
+    bound = F.transform(F.array(hashed), lambda hw: F.concat(*[of_size(hw, k) for k in sizes]))
+    df = df.select(*keep, "off", "w", F.get(bound, F.lit(0)).alias("hs"))
     # the outer form: before the inner one Spark puts a filter on the array's size, for which it would build the array twice
-    df = df.select(*keep, "off", "w", "cw", F.posexplode_outer("hs").alias("place", "h")).where("h is not null")
-    # the place in the joined array tells the size and the place in the piece
+    return df.select(*keep, "off", "w", F.posexplode_outer("hs").alias("place", "h")).where("h is not null")
+
+
+def _placed(df: DataFrame, sizes: list[int], size_name: str, at_name: str, words_name: str) -> DataFrame:
+    """Replaces off, w and place by a window's size, its place in the text (from 0) and its words."""
     before, size, at = F.lit(0), F.lit(None).cast("int"), F.lit(None).cast("int")
-    for k in sizes:
+    for k in sizes:  # the place in the joined array tells the size and the place in the piece
         count = F.greatest(F.size("w") - k + 1, F.lit(0))
         here = size.isNull() & (F.col("place") < before + count)
         size, at, before = F.when(here, k).otherwise(size), F.when(here, F.col("place") - before).otherwise(at), before + count
-    return df.select(*keep, "h", size.alias("size"), (F.col("off") + at).alias("at"), F.slice("w", at + 1, size).alias("win"), F.slice("cw", at + 1, size).alias("canon"))
+    rest = [c for c in df.columns if c not in ("off", "w", "place")]
+    return df.select(*rest, size.alias(size_name), (F.col("off") + at).alias(at_name), F.slice("w", at + 1, size).alias(words_name))
 
 
 def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
@@ -93,24 +98,24 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFra
     items = items.withColumn("item_words", F.size("w")).where(F.col("item_words") >= SHORTEST)
     short = [r.item_words for r in items.where(F.col("item_words") < WINDOW).select("item_words").distinct().collect()]  # WINDOW - SHORTEST rows at most
     sizes = [WINDOW, *sorted(short)]
-    ours = _windows(items, ["item", "item_id", "item_words"], sizes).where(F.col("size") == F.least(F.col("item_words"), F.lit(WINDOW)))
-    ours = ours.select("item", "item_id", "item_words", "size", "h", F.col("at").alias("ipos"), F.col("win").alias("iw"), F.col("canon").alias("icanon")).distinct()
+    ours = _placed(_windows(items, ["item", "item_id", "item_words"], sizes), sizes, "size", "ipos", "iw")
+    ours = ours.where(F.col("size") == F.least(F.col("item_words"), F.lit(WINDOW))).distinct()
     # an item's first word may be taken for a name where the item stands inside a sentence
-    name = F.lit(_MARK + "p")
-    lead = ours.where(F.col("ipos") == 0).withColumn("iw", F.concat(F.array(F.concat(name, F.get("iw", F.lit(0)))), F.slice("iw", 2, WINDOW)))
-    lead = lead.withColumn("icanon", F.concat(F.array(name), F.slice("icanon", 2, WINDOW)))
-    ours = ours.union(lead.withColumn("h", F.xxhash64(F.transform("icanon", lambda w: F.xxhash64(w)))))
-    literal = F.size(F.filter("icanon", lambda w: ~F.startswith(w, F.lit(_MARK))))
+    lead = ours.where(F.col("ipos") == 0).withColumn("iw", F.concat(F.array(F.concat(F.lit(_MARK + "p"), F.get("iw", F.lit(0)))), F.slice("iw", 2, WINDOW)))
+    ours = ours.union(lead.withColumn("h", F.xxhash64(F.transform("iw", lambda w: F.xxhash64(canonical(w))))))
+    literal = F.size(F.filter("iw", lambda w: ~F.startswith(w, F.lit(_MARK))))
     ours = ours.where(literal >= F.ceil(F.col("size") * LITERAL))
 
     d = docs.select(F.col(id_col).alias("doc_id"), template_words(F.col(text_col)).alias("w")).withColumn("row", F.monotonically_increasing_id())
-    theirs = _windows(d, ["row", "doc_id"], sizes).withColumnRenamed("size", "dsize")
+    theirs = _windows(d, ["row", "doc_id"], sizes)
     if ours.count() <= BROADCAST_WINDOWS:
-        ours = F.broadcast(ours)
-    # compared word by word; slices and comparisons are compiled together with the join, so only matches become rows
-    hit = theirs.join(ours, "h").where((F.col("size") == F.col("dsize")) & (F.col("canon") == F.col("icanon")))
-    slots = F.filter(F.zip_with("iw", "win", lambda a, b: F.struct(a.alias("i"), b.alias("d"))), lambda s: F.startswith(s["i"], F.lit(_MARK)))
-    hit = hit.select("row", "doc_id", "item", "item_id", "item_words", "size", "ipos", (F.col("at") - F.col("ipos")).alias("diag"), slots.alias("slots"))
+        hit = _placed(theirs.join(F.broadcast(ours), "h"), sizes, "dsize", "at", "dw")
+    else:
+        hit = _placed(theirs, sizes, "dsize", "at", "dw").join(ours, "h")
+    # compared word by word; as a filter this would go into the join and keep it from being compiled with the scan
+    same = (F.col("size") == F.col("dsize")) & F.forall(F.zip_with("iw", "dw", lambda a, b: canonical(a) == canonical(b)), lambda x: x)
+    slots = F.filter(F.zip_with("iw", "dw", lambda a, b: F.struct(a.alias("i"), b.alias("d"))), lambda s: F.startswith(s["i"], F.lit(_MARK)))
+    hit = hit.select("row", "doc_id", "item", "item_id", "item_words", "size", F.when(same, F.col("ipos")).alias("ipos"), (F.col("at") - F.col("ipos")).alias("diag"), F.when(same, slots).alias("slots"))
 
     pair = ["row", "doc_id", "item", "item_id", "item_words", "size"]
     # sets per diagonal are no longer than the item
