@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitlane.operators.positions import null_safe_join, value_positions
+
 from pitlane.operators.joins import semi_join_aggregate
 
 
@@ -98,20 +100,19 @@ def group_median_mode(df: DataFrame, keys, median_cols: Sequence[str], mode_cols
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact 25/50/75% (linear interpolation,
-    as pandas) and max per numeric column, one row per column.  Moments are
-    one aggregate pass; quartiles come from `exact_quantiles` (a global
-    quantile is one group holding every row, so it takes the refinement plan
-    once the table outgrows a task)."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    one = df.agg(*aggs)
-    for c in cols:
-        one = one.crossJoin(exact_quantiles(df, [], c, [0.25, 0.5, 0.75], [f"{c}__p25", f"{c}__p50", f"{c}__p75"]))
-    fields = {k: [F.col(f"{c}__{k}") for c in cols] for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")}
-    return _stack(one, [], cols, fields).withColumnRenamed("feature", "column")
+    as pandas) and max per numeric column, one row per column.  All columns
+    are stacked as (column, value) once: one aggregate gives the moments and one
+    ranking of the stacked values all quartiles."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                                for i, c in enumerate(cols)]))
+    long = df.select(pairs.alias("p")).select("p.*")
+    x = F.col("x")
+    seeds = df.sparkSession.createDataFrame(list(enumerate(cols)), "i int, column string")  # a row per column, also of an empty table
+    moments = long.groupBy("column").agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                                         F.min(x).alias("min"), F.max(x).alias("max"))
+    quart = exact_quantiles(long, ["column"], "x", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    out = seeds.join(moments, "column", "left").join(quart, "column", "left")
+    return out.select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None, max_nulls: int = 0) -> DataFrame:
@@ -143,113 +144,45 @@ def segment_vs_overall(profile: DataFrame, segment: str, metrics: Sequence[str])
 # Scale-safe exact mode and quantiles
 # ---------------------------------------------------------------------------
 
-# Largest group (rows) whose exact quantile may be computed by one task with
-# Spark's built-in percentile aggregate (a value -> count map per group).
-MAX_ROWS_PER_QUANTILE_GROUP = 2_000_000
-
-
 def group_mode(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
-    """Most frequent non-NULL value per group, smallest on a tie.
+    """Most frequent non-NULL value per group, smallest on a tie; without keys
+    exactly one row, NULL if there is no value.
 
-    Counting is distributed over (group, value) -- a hot group with many
-    distinct values is spread by the hash of the value -- and the winner per
-    group is a row_number() = 1 (WindowGroupLimit before the shuffle)."""
-    from pyspark.sql import Window
+    Values are counted over (group, value), so a hot group is spread by its
+    values; the winner is a minimum, partially aggregated on the map side."""
     keys = list(keys)
     c = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
-    if not keys:
-        c = c.withColumn("_all", F.lit(1))
-    w = Window.partitionBy(*(keys or ["_all"])).orderBy(F.col("_n").desc(), F.col(col).asc())
-    top = c.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return top.select(*keys, F.col(col).alias(out or f"mode_{col}"))
+    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(col).alias("v"))).alias("_best")
+    top = c.groupBy(*keys).agg(best) if keys else c.agg(best)
+    return top.select(*keys, F.col("_best.v").alias(out or f"mode_{col}"))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, max_rows_per_group: int | None = -1,
-                    buckets: int = 4096, gather: int = 100_000) -> DataFrame:
+                    names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles per group with linear interpolation (percentile_cont /
-    pandas / numpy default), NULLs ignored; one output column per prob.
-
-    A one-number check picks the plan: when the largest group has at most
-    `max_rows_per_group` rows the built-in `percentile` aggregate runs.
-    Otherwise each target rank is found by distributed refinement: per round,
-    values inside the rank's current [lo, hi] range are counted per
-    value-bucket (a bounded aggregate), the bucket holding the rank becomes
-    the new range (its actual min/max), and once it holds at most `gather`
-    values they are collected (bounded) and the exact element is picked.
-    No task ever holds an unbounded group."""
+    pandas / numpy default), NULLs ignored; one output column per prob.  A NULL
+    group is a group; a group without values, and an empty table without keys,
+    give NULLs.
+
+    The values at the floor and ceil positions are read off
+    `positions.value_positions`, so no task holds a group's values."""
     keys = list(keys)
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    x = F.col(col).cast("double")
-    if max_rows_per_group == -1:  # default: read at call time
-        max_rows_per_group = MAX_ROWS_PER_QUANTILE_GROUP
-    if max_rows_per_group is not None:
-        biggest = (df.groupBy(*keys).agg(F.count(x).alias("_n")).agg(F.max("_n")).first()[0] or 0) if keys else \
-            (df.agg(F.count(x)).first()[0] or 0)
-        if biggest <= max_rows_per_group:
-            agg = F.percentile(x, [float(p) for p in probs]).alias("_q")
-            g = df.groupBy(*keys).agg(agg) if keys else df.agg(agg)
-            return g.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return _refine_quantiles(df, keys, col, probs, names, buckets, gather)
-
-
-def _refine_quantiles(df, keys, col, probs, names, buckets, gather):
-    from pyspark.sql import Window
-
-    from pitlane.session import materialize
-    gk = keys or ["_qr_all"]
-    allrows = df.select(*keys, F.col(col).cast("double").alias("_qr_x"))
-    if not keys:
-        allrows = allrows.withColumn("_qr_all", F.lit(1))
-    base = allrows.where(F.col("_qr_x").isNotNull())
-    # groups whose values are all NULL are kept (NULL quantiles), as percentile does
-    stats = allrows.groupBy(*gk).agg(F.count("_qr_x").alias("_qr_n"), F.min("_qr_x").alias("_qr_lo"), F.max("_qr_x").alias("_qr_hi"))
-    # two target ranks per prob (floor and ceil of (n-1)p), 0-based
-    tgt = []
+    base = df.select(*keys, F.col(col).cast("double").alias("_qx"))
+    pos = value_positions(base, keys, "_qx")
+    picks = []
     for i, p in enumerate(probs):
-        pos = (F.col("_qr_n") - 1) * float(p)
-        tgt += [F.struct(F.lit(2 * i).alias("_qr_tid"), F.floor(pos).cast("long").alias("_qr_k")),
-                F.struct(F.lit(2 * i + 1).alias("_qr_tid"), F.ceil(pos).cast("long").alias("_qr_k"))]
-    state = stats.where(F.col("_qr_n") > 0).select(*gk, "_qr_lo", "_qr_hi", F.inline(F.array(*tgt))).select(
-        *gk, "_qr_tid", "_qr_k", "_qr_lo", "_qr_hi", F.lit(0).cast("long").alias("_qr_below"),
-        F.when(F.col("_qr_lo") == F.col("_qr_hi"), F.col("_qr_lo")).alias("_qr_val"))
-    state = materialize(state)
-    done_parts = []
-    for _ in range(64):
-        done_parts.append(state.where(F.col("_qr_val").isNotNull()).select(*gk, "_qr_tid", "_qr_val"))
-        active = state.where(F.col("_qr_val").isNull())
-        if active.isEmpty():
-            break
-        j = base.join(active, gk).where((F.col("_qr_x") >= F.col("_qr_lo")) & (F.col("_qr_x") <= F.col("_qr_hi")))
-        b = F.least(F.lit(buckets - 1), F.floor((F.col("_qr_x") - F.col("_qr_lo")) / (F.col("_qr_hi") - F.col("_qr_lo")) * buckets)).cast("int")
-        cnt = j.groupBy(*gk, "_qr_tid", "_qr_k", "_qr_below", b.alias("_qr_b")).agg(
-            F.count(F.lit(1)).alias("_qr_c"), F.min("_qr_x").alias("_qr_bmin"), F.max("_qr_x").alias("_qr_bmax"))
-        w = Window.partitionBy(*gk, "_qr_tid").orderBy("_qr_b").rowsBetween(Window.unboundedPreceding, -1)
-        cnt = cnt.withColumn("_qr_before", F.col("_qr_below") + F.coalesce(F.sum("_qr_c").over(w), F.lit(0)))
-        hit = cnt.where((F.col("_qr_before") <= F.col("_qr_k")) & (F.col("_qr_k") < F.col("_qr_before") + F.col("_qr_c")))
-        hit = materialize(hit)
-        # small bucket: gather its values (bounded) and pick the element
-        small = hit.where((F.col("_qr_c") <= gather) & (F.col("_qr_bmin") != F.col("_qr_bmax")))
-        pick = (j.join(small.select(*gk, "_qr_tid", "_qr_before", "_qr_bmin", "_qr_bmax"), [*gk, "_qr_tid"])
-                .where((F.col("_qr_x") >= F.col("_qr_bmin")) & (F.col("_qr_x") <= F.col("_qr_bmax")))
-                .groupBy(*gk, "_qr_tid", "_qr_k", "_qr_before").agg(F.sort_array(F.collect_list("_qr_x")).alias("_qr_xs"))
-                .select(*gk, "_qr_tid", F.element_at("_qr_xs", (F.col("_qr_k") - F.col("_qr_before") + 1).cast("int")).alias("_qr_val")))
-        done_parts.append(pick)
-        done_parts.append(hit.where(F.col("_qr_bmin") == F.col("_qr_bmax")).select(*gk, "_qr_tid", F.col("_qr_bmin").alias("_qr_val")))
-        state = materialize(hit.where((F.col("_qr_c") > gather) & (F.col("_qr_bmin") != F.col("_qr_bmax"))).select(
-            *gk, "_qr_tid", "_qr_k", F.col("_qr_bmin").alias("_qr_lo"), F.col("_qr_bmax").alias("_qr_hi"),
-            F.col("_qr_before").alias("_qr_below"), F.lit(None).cast("double").alias("_qr_val")))
-    vals = done_parts[0]
-    for d in done_parts[1:]:
-        vals = vals.unionByName(d)
-    piv = vals.groupBy(*gk).agg(*[F.max(F.when(F.col("_qr_tid") == t, F.col("_qr_val"))).alias(f"_qr_v{t}")
-                                  for t in range(2 * len(probs))])
-    out = stats.select(*gk, "_qr_n").join(piv, gk, "left")
+        at = (F.col("_total") - 1) * float(p)
+        for side, k in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            held = (F.col("_before") <= k) & (k < F.col("_before") + F.col("_n"))
+            picks.append(F.max(F.when(held, F.col("_qx"))).alias(f"_{side}{i}"))
+    agg = [F.max("_total").alias("_qn"), *picks]
+    g = pos.groupBy(*keys).agg(*agg) if keys else pos.agg(*agg)
+    if keys:
+        g = null_safe_join(base.select(*keys).distinct(), g, keys, "left")
     cols = []
-    for i, (p, n) in enumerate(zip(probs, names)):
-        pos = (F.col("_qr_n") - 1) * float(p)
-        frac = pos - F.floor(pos)
-        lo_v, hi_v = F.col(f"_qr_v{2 * i}"), F.col(f"_qr_v{2 * i + 1}")
-        cols.append((lo_v + frac * (hi_v - lo_v)).alias(n))
-    res = out.select(*gk, *cols)
-    return res.drop("_qr_all") if not keys else res
+    for i, (p, name) in enumerate(zip(probs, names)):
+        at = (F.col("_qn") - 1) * float(p)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        cols.append(F.when(lo == hi, lo).otherwise(lo + (at - F.floor(at)) * (hi - lo)).alias(name))
+    return g.select(*keys, *cols)

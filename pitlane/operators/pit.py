@@ -7,10 +7,9 @@ Scale notes shared by every operator here:
   As-of lookups therefore first reduce both sides to distinct
   (entity, time) keys -- bounded by the calendar, not by the row count --
   and join the answers back with an equi join (AQE splits a skewed side).
-* Per-row rolling frames use `bucketed_trailing`: the window is partitioned
-  by (entity, bucket) where the bucket is any monotone function of the
-  order key (default: the date), and each bucket receives a halo of the
-  last N-1 rows before it.  A hot entity is spread over its buckets.
+* Per-row rolling frames use `trailing`: every row gets its exact position
+  within its entity, and the window runs per (entity, chunk of positions)
+  with the rows that frames reach back into copied into the next chunk.
 * Every order is total: the match id is the last sort key (trap T7).
 """
 
@@ -22,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions.scalars import norm_status
+from pitlane.operators.positions import coarse_key, null_safe_join, row_positions
 from pitlane.operators.reshape import match_to_team_rows
 
 
@@ -197,224 +197,57 @@ def scheduled_form_and_rest(games: DataFrame, ns: Sequence[int] = (5, 10), seaso
 
 
 # ---------------------------------------------------------------------------
-# Bucketed trailing-row frames (skew-safe per-row rolling windows)
+# Trailing-row frames over chunks of positions
 # ---------------------------------------------------------------------------
 
-# Largest entity (rows) that the plain per-entity window may hold in one task.
-MAX_ROWS_PER_WINDOW_TASK = 2_000_000
+# Rows of an entity that one window task takes (plus the rows its frames reach back into).
+CHUNK_ROWS = 100_000
 
 
-def _plain_trailing(df: DataFrame, ent: list[str], order: list[str], aggs) -> DataFrame:
-    fns = {"avg": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
-           "stddev_samp": F.stddev_samp, "stddev_pop": F.stddev_pop}
-    w = Window.partitionBy(*ent).orderBy(*order)
-    return df.select("*", *[fns[fn](F.col(v) if isinstance(v, str) else v).over(w.rowsBetween(s, e)).alias(name)
-                            for name, (fn, v, s, e) in aggs.items()])
-
-
-def bucketed_trailing(
-    df: DataFrame,
-    entity: str | Sequence[str],
-    order: Sequence[str],
-    aggs: dict[str, tuple[str, Column | str, int, int]],
-    bucket: Column | str | None = None,
-    max_rows_per_task: int | None = -1,
-) -> DataFrame:
-    """Trailing ROWS-frame aggregates with a checked choice of plan.
-
-    One small aggregate measures the largest entity (rows per entity, partial
-    aggregation map-side; one number reaches the driver).  If every entity
-    fits `max_rows_per_task`, the plain per-entity window runs (one shuffle,
-    one sort).  Beyond it -- a hot entity -- the bucketed halo plan below
-    spreads each entity over its buckets.  `max_rows_per_task=None` forces
-    the bucketed plan; -1 (default) reads MAX_ROWS_PER_WINDOW_TASK at call time."""
-    ent = _cols(entity)
-    if max_rows_per_task == -1:
-        max_rows_per_task = MAX_ROWS_PER_WINDOW_TASK
-    if max_rows_per_task is not None:
-        biggest = df.groupBy(*ent).count().agg(F.max("count")).first()[0] or 0
-        if biggest <= max_rows_per_task:
-            return _plain_trailing(df, ent, list(order), aggs)
-    return _bucketed_halo(df, ent, order, aggs, bucket)
-
-
-def _bucketed_halo(
-    df: DataFrame,
-    entity: str | Sequence[str],
-    order: Sequence[str],
-    aggs: dict[str, tuple[str, Column | str, int, int]],
-    bucket: Column | str | None = None,
-) -> DataFrame:
-    """Add per-row trailing ROWS-frame aggregates without a per-entity hot task.
+def trailing(df: DataFrame, entity: str | Sequence[str], order: Sequence[str],
+             aggs: dict[str, tuple[str, Column | str, int, int]]) -> DataFrame:
+    """Add per-row trailing ROWS-frame aggregates, at every size by one plan.
 
     `aggs` maps output name -> (fn, value column, start, end) with start <= end <= 0,
     i.e. `fn(value) over (partition by entity order by order rows between start and end)`
     where fn is one of avg, sum, count, min, max, stddev_samp, stddev_pop.
 
-    Plan (one full-size shuffle):
-      * rows are hash-partitioned once by (entity, bucket); `bucket` must be
-        non-decreasing along `order` within an entity (default: the first
-        order column, e.g. the date).  Each row gets its position p in the
-        bucket and the in-bucket part of its frame from ordinary windows;
-      * the last H = max(-start) rows of each bucket (its tail; a
-        WindowGroupLimit on the same, reused exchange) are laid out per
-        entity, and the H tail rows before each bucket's first tail row are
-        that bucket's halo -- the rows a frame may reach back into.  Halos
-        are tiny (<= H values per bucket);
-      * the halo is joined back by (entity, bucket) -- only the small side
-        moves -- and the part of each frame that lies before the bucket is
-        folded in with array expressions over a slice of the halo.
-    A hot entity is spread over its buckets; no task holds a whole entity."""
-    ent = _cols(entity)
-    order = list(order)
-    H = max(-spec[2] for spec in aggs.values())
-    bcol = F.col(order[0]) if bucket is None else (F.col(bucket) if isinstance(bucket, str) else bucket)
-    # one value column per distinct (input, kind): aggregates over the same
-    # input share their halo arrays
-    vkey = {name: (v if isinstance(v, str) else str(v), fn in ("min", "max")) for name, (fn, v, s, e) in aggs.items()}
-    distinct_v = list(dict.fromkeys(vkey.values()))
-    vnames = {name: f"_v_{distinct_v.index(vkey[name])}" for name in aggs}
-    def _val(v, fn):
-        c = F.col(v) if isinstance(v, str) else v
-        return c if fn in ("min", "max") else c.cast("double")
-    seen = set()
-    vcols = []
-    for name, (fn, v, s, e) in aggs.items():
-        if vnames[name] not in seen:
-            seen.add(vnames[name])
-            vcols.append(_val(v, fn).alias(vnames[name]))
-    ocols = [f"_o_{i}" for i in range(len(order))]
-    base = df.select("*", bcol.alias("_b"), *[F.col(c).alias(o) for c, o in zip(order, ocols)], *vcols)
-    wb = Window.partitionBy(*ent, "_b").orderBy(*ocols)
-    base = base.withColumn("_p", F.row_number().over(wb))
-
-    # in-bucket parts: sums / counts / extremes over the frame clipped to the bucket
-    inb = []
-    for name, (fn, v, s, e) in aggs.items():
-        x = F.col(vnames[name])
-        w = wb.rowsBetween(s, e)
-        inb.append(F.count(x).over(w).alias(f"_c_{name}"))
-        if fn not in ("min", "max"):
-            inb.append(F.sum(x).over(w).alias(f"_s_{name}"))
-        if fn in ("min", "max"):
-            inb.append((F.min(x) if fn == "min" else F.max(x)).over(w).alias(f"_m_{name}"))
-        if fn.startswith("stddev"):
-            inb.append(F.sum(x * x).over(w).alias(f"_q_{name}"))
-    base = base.select("*", *inb)
-
-    out = base
-    if H > 0:
-        tail_w = Window.partitionBy(*ent, "_b").orderBy(*[F.col(c).desc() for c in ocols])
-        tails = (base.select(*ent, "_b", *ocols, *dict.fromkeys(vnames.values()))
-                 .withColumn("_rn", F.row_number().over(tail_w)).where(F.col("_rn") <= H))
-        seq_w = Window.partitionBy(*ent).orderBy("_b", *ocols)
-        vals = F.struct(*[F.col(c) for c in dict.fromkeys(vnames.values())])
-        halos = (tails.select(*ent, "_b", "_rn",
-                              F.collect_list(vals).over(seq_w.rowsBetween(-H, -1)).alias("_halo"),
-                              F.max("_rn").over(Window.partitionBy(*ent, "_b")).alias("_first"))
-                 .where(F.col("_rn") == F.col("_first")).select(*ent, "_b", "_halo"))
-        # per bucket (small table): value arrays and prefix arrays of count,
-        # sum and sum of squares, so that each row reads a frame part in O(1)
-        hcols = [F.size("_halo").alias("_L")]
-
-        def field(vn):
-            return lambda r: r[vn]
-
-        def prefix(arr, kind):
-            # [0, f(x1), f(x1)+f(x2), ...] in one pass; f counts / sums / squares non-null values
-            def step(acc, x):
-                inc = {"count": F.when(x.isNull(), 0.0).otherwise(1.0),
-                       "sum": F.coalesce(x, F.lit(0.0)),
-                       "sumsq": F.coalesce(x * x, F.lit(0.0))}[kind]
-                return F.concat(acc, F.array(F.element_at(acc, -1) + inc))
-            return F.aggregate(arr, F.array(F.lit(0.0)), step)
-
-        built = set()
-        for name, (fn, v, s_, e_) in aggs.items():
-            vn = vnames[name]
-            arr = F.transform("_halo", field(vn))
-            wanted = [("count", f"_hc_{vn}")]
-            wanted += [("values", f"_hv_{vn}")] if fn in ("min", "max") else [("sum", f"_hs_{vn}")]
-            if fn.startswith("stddev"):
-                wanted.append(("sumsq", f"_hq_{vn}"))
-            for kind, col_name in wanted:
-                if col_name not in built:
-                    built.add(col_name)
-                    hcols.append((arr if kind == "values" else prefix(arr, kind)).alias(col_name))
-        # halo keys renamed: halos derive from `base`, and equal attribute ids
-        # on both sides would make the join condition trivially true
-        hk = {c: f"_hk_{i}" for i, c in enumerate([*ent, "_b"])}
-        halos = halos.select(*[F.col(c).alias(k) for c, k in hk.items()], *hcols)
-        # only the first H rows of a bucket can reach back into its halo
-        cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in hk.items()] + [F.col("_p") <= H]
-        out = base.join(halos, cond, "left").drop(*hk.values())
-    res = []
-    for name, (fn, v, s, e) in aggs.items():
-        sm = F.col(f"_s_{name}") if fn not in ("min", "max") else F.lit(0.0)
-        ct = F.col(f"_c_{name}")
-        q = F.col(f"_q_{name}") if fn.startswith("stddev") else None
-        hm = None
-        if H > 0 and s < 0:
-            L = F.coalesce(F.col("_L"), F.lit(0))
-            start = F.greatest(F.lit(1), L + F.col("_p") + s)
-            end = L + F.least(F.col("_p") + e, F.lit(0))
-            has = (end >= start) & F.col("_L").isNotNull()
-
-            def part(arr_name):
-                return F.when(has, F.element_at(F.col(arr_name), end + 1) - F.element_at(F.col(arr_name), start)).otherwise(0)
-            vn = vnames[name]
-            ct = ct + part(f"_hc_{vn}")
-            if fn in ("min", "max"):
-                seg = F.slice(F.col(f"_hv_{vn}"), start, F.greatest(end - start + 1, F.lit(1)))
-                hm = F.when(has, F.array_min(seg) if fn == "min" else F.array_max(seg))
-            else:
-                sm = F.coalesce(sm, F.lit(0.0)) + part(f"_hs_{vn}")
-            if q is not None:
-                q = F.coalesce(q, F.lit(0.0)) + part(f"_hq_{vn}")
-        else:
-            sm = F.coalesce(sm, F.lit(0.0))
-        if fn == "sum":
-            r = F.when(ct > 0, sm)
-        elif fn == "count":
-            r = ct
-        elif fn == "avg":
-            r = F.when(ct > 0, sm / ct)
-        elif fn in ("min", "max"):
-            m = F.col(f"_m_{name}")
-            r = m if hm is None else (F.least if fn == "min" else F.greatest)(m, hm)
-        elif fn.startswith("stddev"):
-            q = F.coalesce(q, F.lit(0.0))
-            var_pop = F.greatest(F.lit(0.0), q / ct - F.pow(sm / ct, 2))
-            r = (F.when(ct > 1, F.sqrt(var_pop * ct / (ct - 1))) if fn == "stddev_samp"
-                 else F.when(ct > 0, F.sqrt(var_pop)))
-        else:
-            raise ValueError(fn)
-        res.append(r.alias(name))
-    return out.select(*df.columns, *res)
-
-
-def _default_bucket(order_first: str) -> Column:
-    return F.trunc(F.col(order_first), "year")
+    Every row gets its exact position within its entity (`positions.row_positions`)
+    and belongs to the chunk of CHUNK_ROWS positions it lies in; the last rows of a
+    chunk that frames of the next one reach are copied there.  The window runs per
+    (entity, chunk) on the columns' own types, and the copies are dropped: a busy
+    entity is spread over its chunks, a NULL entity is an entity."""
+    ent, order = _cols(entity), list(order)
+    fns = {"avg": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
+           "stddev_samp": F.stddev_samp, "stddev_pop": F.stddev_pop}
+    reach = max(-spec[2] for spec in aggs.values())
+    size = max(CHUNK_ROWS, reach)
+    rows = row_positions(df, ent, order, "_pos")
+    chunk = F.floor(F.col("_pos") / size)
+    tail = F.col("_pos") % size >= size - reach
+    rows = rows.withColumn("_chunk", F.explode(F.when(tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))))
+    w = Window.partitionBy(*ent, "_chunk").orderBy("_pos")
+    out = rows.select("*", *[fns[fn](F.col(v) if isinstance(v, str) else v).over(w.rowsBetween(s, e)).alias(name)
+                             for name, (fn, v, s, e) in aggs.items()])
+    return out.where(chunk == F.col("_chunk")).select(*df.columns, *aggs)
 
 
 def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str, str], n: int,
-                 include_current: bool = True, full_only: bool = False, fn: str = "avg",
-                 bucket: Column | None = None, max_rows_per_task: int | None = -1) -> DataFrame:
+                 include_current: bool = True, full_only: bool = False, fn: str = "avg") -> DataFrame:
     """per-row mean (or `fn`) of the last `n` rows per entity.
 
     include_current=True  -> rows between n-1 preceding and current (F3)
     include_current=False -> rows between n preceding and 1 preceding (F4, V4)
     full_only=True        -> NULL until the frame holds n non-null values (F5,
                              pandas `rolling(n).mean()`).
-    `metrics` maps output name -> input column.  Skew-safe (bucketed_trailing)."""
+    `metrics` maps output name -> input column."""
     s, e = (-(n - 1), 0) if include_current else (-n, -1)
     aggs = {}
     for out, c in metrics.items():
         aggs[out] = (fn, c, s, e)
         if full_only:
             aggs[f"_cnt_{out}"] = ("count", c, s, e)
-    b = bucket if bucket is not None else _default_bucket(order[0])
-    res = bucketed_trailing(df, entity, order, aggs, bucket=b, max_rows_per_task=max_rows_per_task)
+    res = trailing(df, entity, order, aggs)
     if full_only:
         for out in metrics:
             res = res.withColumn(out, F.when(F.col(f"_cnt_{out}") == n, F.col(out))).drop(f"_cnt_{out}")
@@ -422,58 +255,40 @@ def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str,
 
 
 def cumulative_prior(df: DataFrame, entity, order: Sequence[str], value: str, out: str = "volatility",
-                     stat: str = "stddev_samp", default: float | None = 11.0, bucket: Column | None = None,
-                     max_rows_per_task: int | None = -1) -> DataFrame:
+                     stat: str = "stddev_samp", default: float | None = 11.0) -> DataFrame:
     """F8: statistic over ALL prior rows of the entity (rows unbounded preceding
     to 1 preceding), e.g. sample std of points, with a default when undefined.
 
-    Unbounded frames are prefix sums: per (entity, bucket) totals (count, sum,
-    sum of squares) -> running totals over buckets (rows per entity = buckets)
-    -> joined to the rows and completed inside the bucket.  No task ever holds
-    a whole entity.  As for rolling frames, a one-number check runs the plain
-    entity window when every entity fits one task; the bucketed plan
-    (default bucket: the first order column, e.g. the day) otherwise."""
-    ent = _cols(entity)
-    if max_rows_per_task == -1:
-        max_rows_per_task = MAX_ROWS_PER_WINDOW_TASK
-    if max_rows_per_task is not None:
-        biggest = df.groupBy(*ent).count().agg(F.max("count")).first()[0] or 0
-        if biggest <= max_rows_per_task:
-            w = Window.partitionBy(*ent).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-            x = F.col(value).cast("double")
-            fn = {"stddev_samp": F.stddev_samp(x), "stddev_pop": F.stddev_pop(x), "avg": F.avg(x),
-                  "count": F.count(x)}[stat]
-            v = fn.over(w)
-            if default is not None:
-                v = F.coalesce(v, F.lit(default))
-            return df.withColumn(out, v)
-    b = bucket if bucket is not None else F.col(order[0])
-    x = F.col(value).cast("double")
-    base = df.withColumn("_b", b).withColumn("_x", x)
-    per_b = base.groupBy(*ent, "_b").agg(F.count("_x").alias("_n"), F.sum("_x").alias("_s"),
-                                         F.sum(F.col("_x") * F.col("_x")).alias("_ss"))
-    wb = Window.partitionBy(*ent).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.select(*ent, "_b", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"{c}0") for c in ("_n", "_s", "_ss")])
-    j = base.join(per_b, [*ent, "_b"], "left")
-    wi = Window.partitionBy(*ent, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    n = F.col("_n0") + F.coalesce(F.count("_x").over(wi), F.lit(0))
-    s = F.col("_s0") + F.coalesce(F.sum("_x").over(wi), F.lit(0.0))
-    ss = F.col("_ss0") + F.coalesce(F.sum(F.col("_x") * F.col("_x")).over(wi), F.lit(0.0))
-    j = j.withColumn("_N", n).withColumn("_S", s).withColumn("_SS", ss)
-    var_pop = F.greatest(F.lit(0.0), F.col("_SS") / F.col("_N") - F.pow(F.col("_S") / F.col("_N"), 2))
-    if stat == "stddev_samp":
-        v = F.when(F.col("_N") > 1, F.sqrt(var_pop * F.col("_N") / (F.col("_N") - 1)))
-    elif stat == "stddev_pop":
-        v = F.when(F.col("_N") > 0, F.sqrt(var_pop))
-    elif stat == "avg":
-        v = F.when(F.col("_N") > 0, F.col("_S") / F.col("_N"))
-    elif stat == "count":
-        v = F.col("_N")
-    else:
-        raise ValueError(stat)
+    Rows before the row's bucket (the first order column's coarse key) come from
+    running totals over the entity's buckets, rows before it inside the bucket
+    from a window, and the two are merged.  Second moments are kept around means:
+    the buckets' are centred on the entity's mean, so values far from zero lose
+    nothing.  A NULL entity is an entity."""
+    ent, order = _cols(entity), list(order)
+    base = df.withColumn("_b", coarse_key(F.col(order[0]), df.schema[order[0]].dataType)).withColumn("_x", F.col(value).cast("double"))
+    per_b = base.groupBy(*ent, "_b").agg(F.count("_x").alias("_n"), F.coalesce(F.avg("_x"), F.lit(0.0)).alias("_m"),
+                                         F.coalesce(F.var_pop("_x") * F.count("_x"), F.lit(0.0)).alias("_m2"))
+    whole = Window.partitionBy(*ent)
+    per_b = per_b.withColumn("_ref", F.sum(F.col("_m") * F.col("_n")).over(whole) / F.greatest(F.sum("_n").over(whole), F.lit(1)))
+    d = F.col("_m") - F.col("_ref")
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    run = lambda e: F.coalesce(F.sum(e).over(before), F.lit(0))
+    per_b = per_b.select(*ent, "_b", "_ref", run(F.col("_n")).alias("_n0"), run(F.col("_n") * d).alias("_s0"), run(F.col("_m2") + F.col("_n") * d * d).alias("_q0"))
+    j = null_safe_join(base, per_b, [*ent, "_b"])
+    inside = Window.partitionBy(*ent, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    n0, n1 = F.col("_n0"), F.count("_x").over(inside)
+    mean0 = F.when(n0 > 0, F.col("_s0") / n0).otherwise(0.0)
+    mean1 = F.coalesce(F.avg("_x").over(inside) - F.col("_ref"), F.lit(0.0))
+    m20 = F.when(n0 > 0, F.greatest(F.lit(0.0), F.col("_q0") - F.col("_s0") * F.col("_s0") / n0)).otherwise(0.0)
+    m21 = F.coalesce(F.var_pop("_x").over(inside) * n1, F.lit(0.0))
+    j = j.withColumn("_N", n0 + n1).withColumn("_M2", m20 + m21 + F.when((n0 > 0) & (n1 > 0), F.pow(mean1 - mean0, 2) * n0 * n1 / (n0 + n1)).otherwise(0.0))
+    j = j.withColumn("_MEAN", F.col("_ref") + (n0 * mean0 + n1 * mean1) / F.greatest(F.col("_N"), F.lit(1)))
+    v = {"stddev_samp": F.when(F.col("_N") > 1, F.sqrt(F.col("_M2") / (F.col("_N") - 1))),
+         "stddev_pop": F.when(F.col("_N") > 0, F.sqrt(F.col("_M2") / F.col("_N"))),
+         "avg": F.when(F.col("_N") > 0, F.col("_MEAN")), "count": F.col("_N")}[stat]
     if default is not None:
         v = F.coalesce(v, F.lit(default))
-    return j.withColumn(out, v).drop("_b", "_x", "_n0", "_s0", "_ss0", "_N", "_S", "_SS")
+    return j.withColumn("_v", v).select(*df.columns, F.col("_v").alias(out))
 
 
 def current_last_n(df: DataFrame, entity, order: Sequence[str], metrics: dict[str, tuple[str, int]],
@@ -508,7 +323,7 @@ def team_features_with_rest(games: DataFrame, ns: Sequence[int] = (5, 10)) -> Da
     order = ["game_date_et", "game_id"]
     aggs = {f"rolling_pd_{n}": ("avg", "margin", -n, -1) for n in ns}
     aggs["prev_date"] = ("max", "game_date_et", -1, -1)
-    res = bucketed_trailing(rows, "team_id", order, aggs, bucket=_default_bucket("game_date_et"))
+    res = trailing(rows, "team_id", order, aggs)
     rd = F.datediff("game_date_et", "prev_date") - 1
     return res.select("game_id", "team_id", "opp_team_id", "is_home", "game_date_et", "margin",
                       *[f"rolling_pd_{n}" for n in ns], rd.alias("rest_days"),
@@ -523,8 +338,7 @@ def strength_of_schedule(games: DataFrame, n: int = 10, f6: DataFrame | None = N
         f6 = team_features_with_rest(games, ns=(10,))
     opp = f6.select("game_id", F.col("team_id").alias("opp_team_id"), F.col("rolling_pd_10").alias("opp_form"))
     rows = f6.select("game_id", "team_id", "opp_team_id", "game_date_et").join(opp, ["game_id", "opp_team_id"], "left")
-    res = bucketed_trailing(rows, "team_id", ["game_date_et", "game_id"],
-                            {f"rolling_sos_{n}": ("avg", "opp_form", -n, -1)}, bucket=_default_bucket("game_date_et"))
+    res = trailing(rows, "team_id", ["game_date_et", "game_id"], {f"rolling_sos_{n}": ("avg", "opp_form", -n, -1)})
     return res.select("game_id", "team_id", "game_date_et", f"rolling_sos_{n}")
 
 

@@ -1,7 +1,7 @@
 """Season-rank study operators, ordering and top-k.
 
-Ranking windows are partitioned by season: a season holds one row per team,
-so the partition size is bounded by the league size, not the data volume.
+Ranks are positions among counted values (`positions`), whatever the size of a
+season.
 Global top-k uses `orderBy(...).limit(k)` (TakeOrderedAndProject: per-task
 top-k, then a k-row merge), never an unpartitioned window (trap T8)."""
 
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitlane.operators.positions import null_safe_join, value_positions
+
 # Outcome categories in their declared order (best first) and the
 # substring rules that map a playoff text to them; checked in this order.
 OUTCOME_ORDER = ["Finals Winner", "Finals Loser", "Conference Finals", "Playoffs Round 2", "Playoffs Round 1",
@@ -23,49 +25,21 @@ OUTCOME_DEFAULT = "Missed Playoffs"
 CONTENDER_MARKERS = ["Won Finals", "Lost Finals", "Conf. Finals"]
 
 
-# Largest group (rows) the plain rank window may hold in one task.
-MAX_ROWS_PER_RANK_TASK = 2_000_000
-
-
-def rank_in_group(df: DataFrame, group: str, metric: str, out: str, ascending: bool = True,
-                  max_rows_per_task: int | None = -1, buckets: int = 4096) -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, metric: str, out: str, ascending: bool = True) -> DataFrame:
     """pandas rank(method='min') per group = SQL rank() (NULLs first when
     ascending, last when descending, as Spark orders them).
 
-    A one-number check picks the plan.  Small groups: the rank window.  A hot
-    group (numeric metric): rank = rows strictly before in value-range
-    buckets (counted per bucket, prefix over <= `buckets` rows per group) +
-    rank inside the bucket (a window per (group, bucket)); ties share a
-    bucket, so ranks stay exact."""
-    if max_rows_per_task == -1:
-        max_rows_per_task = MAX_ROWS_PER_RANK_TASK
-    o = F.col(metric).asc() if ascending else F.col(metric).desc()
-    if max_rows_per_task is not None:
-        biggest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-        if biggest <= max_rows_per_task:
-            return df.withColumn(out, F.rank().over(Window.partitionBy(group).orderBy(o)))
-    v = F.col(metric).cast("double") * (1.0 if ascending else -1.0)
-    base = df.withColumn("_rv", v)
-    st = base.groupBy(group).agg(F.min("_rv").alias("_mn"), F.max("_rv").alias("_mx"),
-                                 F.count_if(F.col("_rv").isNull()).alias("_nnull"),
-                                 F.count("_rv").alias("_nval"))
-    base = base.join(st, group)
-    span = F.col("_mx") - F.col("_mn")
-    # (least() skips NULLs, so NULL metrics get no bucket explicitly)
-    bk = (F.when(F.col("_rv").isNull(), F.lit(None))
-          .when(span > 0, F.least(F.lit(buckets - 1), F.floor((F.col("_rv") - F.col("_mn")) / span * buckets)))
-          .otherwise(0))
-    base = base.withColumn("_bk", bk.cast("int"))
-    cnt = base.where(F.col("_rv").isNotNull()).groupBy(group, "_bk").agg(F.count(F.lit(1)).alias("_c"))
-    cnt = cnt.select(group, "_bk", F.coalesce(F.sum("_c").over(
-        Window.partitionBy(group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    j = base.join(cnt, [group, "_bk"], "left")
-    inner = F.rank().over(Window.partitionBy(group, "_bk").orderBy("_rv"))
-    # NULL metric: Spark puts NULLs first ascending (rank 1) and last descending
-    null_rank = F.lit(1) if ascending else F.col("_nval") + 1
-    shift = F.col("_nnull") if ascending else F.lit(0)
-    r = F.when(F.col("_rv").isNull(), null_rank).otherwise(shift + F.col("_off") + inner)
-    return j.withColumn(out, r.cast("int")).drop("_rv", "_mn", "_mx", "_nnull", "_nval", "_bk", "_off")
+    The rank of a value is its exact position among the group's counted values
+    (`positions.value_positions`): ties share it, NULL groups are groups, and
+    the metric keeps its own type."""
+    pos = value_positions(df, [group], metric)
+    sizes = df.groupBy(group).agg(F.count(metric).alias("_nval"), F.count_if(F.col(metric).isNull()).alias("_nnull"))
+    j = null_safe_join(null_safe_join(df, sizes, [group]), pos.drop("_total"), [group, metric], "left")
+    if ascending:
+        r = F.when(F.col(metric).isNull(), F.lit(1)).otherwise(F.col("_nnull") + F.col("_before") + 1)
+    else:
+        r = F.when(F.col(metric).isNull(), F.col("_nval") + 1).otherwise(F.col("_nval") - F.col("_before") - F.col("_n") + 1)
+    return j.withColumn("_rank", r.cast("int")).select(*df.columns, F.col("_rank").alias(out))
 
 
 def outcome_label(text: Column, rules=OUTCOME_RULES, default: str = OUTCOME_DEFAULT) -> Column:

@@ -133,8 +133,8 @@ def q_l8(T):
     order = ["game_date", "game_id", "line_no"]
     frames = {"pts_l5": ("pts", 5), "reb_l5": ("reb", 5), "ast_l5": ("ast", 5), "min_l5": ("minutes", 5),
               "pts_l10": ("pts", 10), "reb_l10": ("reb", 10), "ast_l10": ("ast", 10), "pts_l20": ("pts", 20)}
-    hist = materialize(pit.bucketed_trailing(logs, "player_id", order, {o: ("avg", col, -k, -1) for o, (col, k) in frames.items()},
-                                             bucket=F.trunc(c("game_date"), "year")).where(c("pts_l20").isNotNull()))
+    hist = materialize(pit.trailing(logs, "player_id", order, {o: ("avg", col, -k, -1) for o, (col, k) in frames.items()})
+                       .where(c("pts_l20").isNotNull()))
     now = pit.current_last_n(logs, "player_id", order, frames)
     games = T.fx_games.where(norm_status(c("status")) == "scheduled").select("game_id", "game_date_et", "home_team_id", "away_team_id")
     active = or_key_join(T.fx_players, games, "team_id", ["home_team_id", "away_team_id"],
