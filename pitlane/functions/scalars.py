@@ -22,9 +22,9 @@ def parse_duration(c: Column) -> Column:
 
 
 def safe_int(c: Column) -> Column:
-    """int(float(x)) or NULL: parse as double, truncate toward zero."""
+    """int(float(x)) or NULL: parse as double, truncate toward zero (BIGINT; NULL beyond it)."""
     d = c.cast("string").try_cast("double")
-    return F.when(d.isNotNull() & ~F.isnan(d) & (F.abs(d) < 2147483648.0), d.cast("int"))
+    return F.when(d.isNotNull() & ~F.isnan(d) & (F.abs(d) < 9223372036854775808.0), d.cast("long"))
 
 
 def season_start_year(d: Column, cutover_month: int = 10) -> Column:

@@ -78,14 +78,18 @@ def back_transform(log_pred: Column) -> Column:
 def grade_predictions(history: DataFrame, games: DataFrame, match_id: str = "game_id") -> DataFrame:
     """M1: fill actual scores of ungraded predictions from finished matches;
     correct_winner (p = 0.5 counts wrong) and signed margin error.  Graded
-    rows and rows without a finished match are unchanged (U5 semantics)."""
+    rows and rows without a finished match are unchanged (U5 semantics).  A
+    match that is finished several times with one score counts once; with
+    different scores the job fails."""
     from pitlane.functions.scalars import norm_status
+    from pitlane.operators.upsert import assert_unique
     h = history
     for col, typ in (("correct_winner", "boolean"), ("error_margin", "double")):
         if col not in h.columns:
             h = h.withColumn(col, F.lit(None).cast(typ))
     fin = games.where(norm_status(F.col("status")) == "final").select(
-        match_id, F.col("home_pts").alias("_hp"), F.col("away_pts").alias("_ap"))
+        match_id, F.col("home_pts").alias("_hp"), F.col("away_pts").alias("_ap")).distinct()
+    fin = assert_unique(fin, match_id, "finished matches")
     j = h.join(fin, match_id, "left")
     todo = F.col("_hp").isNotNull() & F.col("actual_home_score").isNull()
     p = F.col("pred_home_prob")

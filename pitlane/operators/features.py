@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.functions.scalars import hash_unit
+from pitlane.operators.positions import null_safe_join, row_positions
 
 
 # --- imputation -------------------------------------------------------------
@@ -27,11 +28,12 @@ def fill_constant(df: DataFrame, fills: dict) -> DataFrame:
 
 def fill_mode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """NULL -> most frequent value (smallest on a tie), fitted on `fit_on`
-    (default: the frame itself).  The modes are a one-row aggregate."""
+    (default: the frame itself).  Each mode is a one-row aggregate; a column
+    without any value stays NULL."""
     from pitlane.operators.aggregate import group_mode
     fit = fit_on if fit_on is not None else df
     j = df
-    for c in cols:  # each mode is one row (distributed count per value, then top-1)
+    for c in cols:  # exactly one row each
         j = j.crossJoin(F.broadcast(group_mode(fit, [], c, f"_mode_{c}")))
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(c), F.col(f"_mode_{c}"))).drop(f"_mode_{c}")
@@ -73,15 +75,27 @@ def ordinal_encode(df: DataFrame, cols: Sequence[str], mapping: dict = QUALITY_S
     return out
 
 
-def one_hot(df: DataFrame, col: str, max_categories: int = 100, prefix: str | None = None) -> DataFrame:
-    """0/1 indicator per category (train and test together).  The
-    distinct categories are fetched with a cap: more than `max_categories`
-    raises instead of building an unbounded column list."""
-    cats = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_categories + 1).collect()]
-    if len(cats) > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories")
+def one_hot(df: DataFrame, col: str, categories: Sequence | None = None, prefix: str | None = None) -> DataFrame:
+    """0/1 indicator per category (train and test together); a value
+    outside `categories` has 0 in all of them.
+
+    Declare `categories` where they are known.  Otherwise the distinct values
+    are fetched, one column each: that suits any number of categories that a
+    table can have as columns.  For more, see `one_hot_vector`."""
+    if categories is None:
+        categories = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
     p = prefix or col
-    return df.select("*", *[(F.col(col) == v).cast("int").alias(f"{p}_{v}") for v in sorted(cats)])
+    return df.select("*", *[(F.col(col) == v).cast("int").alias(f"{p}_{v}") for v in categories])
+
+
+def one_hot_vector(df: DataFrame, col: str, out: str) -> DataFrame:
+    """J16 for any number of categories: one sparse vector column (NULL: all zeros)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    index = f"_{col}_index"
+    stages = [StringIndexer(inputCol=col, outputCol=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
+              OneHotEncoder(inputCol=index, outputCol=out, dropLast=True)]
+    return Pipeline(stages=stages).fit(df).transform(df).drop(index)
 
 
 def cast_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -164,32 +178,18 @@ def skew_correct(df: DataFrame, cols: Sequence[str], limit: float = 0.75, lam: f
 
 # --- splits and weights -----------------------------------------------------
 
-def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, buckets: int | None = None,
-                     out: str = "split", rows_per_bucket: int = 1_000_000) -> DataFrame:
+def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, out: str = "split") -> DataFrame:
     """Exact, repeatable per-label split: rows ordered by md5 of the key
-    within each label; the first n - ceil(test_share * n) are 'train'.
-
-    The rank inside a label is computed without a window over the whole label
-    (a two-valued label would put half the data in one task): rows are hashed
-    into ordered buckets (enough for about `rows_per_bucket` rows each), bucket
-    sizes are counted, their running offsets come from a window over the
-    bucket rows of a label, and only the rank within a (label, bucket) uses a
-    row window."""
-    if buckets is None:  # about rows_per_bucket rows per bucket, at least 1024
-        n = df.count()
-        buckets = int(min(2 ** 20, max(1024, -(-n // rows_per_bucket))))
-    h = hash_unit(F.col(key))
-    base = df.withColumn("_h", h).withColumn("_bk", F.floor(F.col("_h") / F.lit((2 ** 32) // buckets)).cast("int"))
-    cnt = base.groupBy(label, "_bk").agg(F.count(F.lit(1)).alias("_c"))
-    wc = Window.partitionBy(label).orderBy("_bk")
-    cnt = cnt.select(label, "_bk", (F.sum("_c").over(wc.rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-                     F.sum("_c").over(Window.partitionBy(label)).alias("_n"))
-    j = base.join(cnt, [label, "_bk"])
-    rn = F.row_number().over(Window.partitionBy(label, "_bk").orderBy("_h", key))
-    j = j.withColumn("_rank", F.coalesce(F.col("_off"), F.lit(0)) + rn)
+    within each label; the first n - ceil(test_share * n) are 'train'.  A NULL
+    label is a label, NULL keys come first in it.
+
+    A row's place comes from `positions.row_positions` over the hash, so a
+    two-valued label doesn't put half the data in one task."""
+    j = row_positions(df.withColumn("_h", hash_unit(F.col(key))), [label], ["_h", key], "_pos")
+    j = null_safe_join(j, df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")), [label])
     n_train = F.col("_n") - F.ceil(F.col("_n") * test_share)
-    return j.withColumn(out, F.when(F.col("_rank") <= n_train, "train").otherwise("test")).drop(
-        "_h", "_bk", "_off", "_n", "_rank")
+    return j.withColumn("_split", F.when(F.col("_pos") < n_train, "train").otherwise("test")).select(
+        *df.columns, F.col("_split").alias(out))
 
 
 def class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:

@@ -17,20 +17,25 @@ def dual_side_join(matches: DataFrame, per_entity: DataFrame, cols: Sequence[str
     """Attach an entity-level table (keyed by match and entity) twice, as
     `home_<c>` and `away_<c>`.
 
-    One shuffle on the match id: the per-entity rows are joined on the match
-    only and folded back to one row per match with conditional aggregation; the
-    aggregate reuses the join's partitioning, so no second exchange.
+    Contract, asserted while the job runs: a match id is one row of `matches`,
+    and an entity has one row for a match.  One shuffle on the match id: the
+    per-entity rows are joined on the match only and folded back to one row per
+    match; the aggregate reuses the join's partitioning, so no second exchange.
     `how='inner'` keeps matches with both sides present, `'left'` keeps all."""
     pe = per_entity.select(F.col(match_id).alias("_mid"), F.col(entity).alias("_ent"),
                            F.struct(*[F.col(c) for c in cols]).alias("_v"))
     keys = matches.columns
     j = matches.join(pe, matches[match_id] == pe["_mid"], "left")
-    agg = j.groupBy(*keys).agg(
-        F.max(F.when(F.col("_ent") == F.col(home), F.col("_v"))).alias("_h"),
-        F.max(F.when(F.col("_ent") == F.col(away), F.col("_v"))).alias("_a"))
+    at_home, is_away = F.col("_ent") == F.col(home), F.col("_ent") == F.col(away)
+    agg = j.groupBy(match_id).agg(
+        F.first(F.struct(*keys)).alias("_m"), F.first(F.when(at_home, F.col("_v")), ignorenulls=True).alias("_h"),
+        F.first(F.when(is_away, F.col("_v")), ignorenulls=True).alias("_a"),
+        F.greatest(F.count_if(at_home), F.count_if(is_away)).alias("_n"))
+    msg = F.concat(F.lit("more than one row of an entity in match "), F.col(match_id).cast("string"))
+    agg = agg.where(F.when(F.col("_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
     if how == "inner":
         agg = agg.where(F.col("_h").isNotNull() & F.col("_a").isNotNull())
-    return agg.select(*keys, *[F.col(f"_h.{c}").alias(f"home_{c}") for c in cols],
+    return agg.select(*[F.col(f"_m.{c}").alias(c) for c in keys], *[F.col(f"_h.{c}").alias(f"home_{c}") for c in cols],
                       *[F.col(f"_a.{c}").alias(f"away_{c}") for c in cols])
 
 
@@ -51,7 +56,8 @@ def or_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: Se
     (array_distinct: an entity on both sides matches once), then an equi join.
     DISTINCT is applied to the two (small) inputs instead of the (large) join
     output: with duplicate-free inputs every (left row, right row) pair occurs
-    once, so the output is already distinct whenever it keeps the join key."""
+    once, so the output is already distinct if it keeps the left key and all
+    right keys; otherwise it is made distinct."""
     lcols = [c for c in (out_cols or left.columns) if c in left.columns]
     if left_key not in lcols:
         lcols.append(left_key)
@@ -63,7 +69,7 @@ def or_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: Se
     j = l.join(r, l[left_key] == r["_jk"], "inner").drop("_jk")
     cols = list(out_cols) if out_cols is not None else [*lcols, *[c for c in rcols if c not in lcols]]
     out = j.select(*cols)
-    return out if left_key in cols else out.distinct()
+    return out if {left_key, *right_keys} <= set(cols) else out.distinct()
 
 
 def missing_or_zero(ids: DataFrame, table: DataFrame, key: str, metric: str) -> DataFrame:

@@ -88,9 +88,16 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str, max_iter: int
 
 def fit_lasso_enet(train: DataFrame, features: Sequence[str], label: str, reg: float = 0.0005,
                    l1_ratio: float = 1.0) -> PipelineModel:
-    """K4: lasso (l1_ratio 1) or elastic net (e.g. 0.9) on scaled features."""
+    """K4: lasso (l1_ratio 1) or elastic net (e.g. 0.9) on scaled features, with
+    scikit-learn's alpha `reg`.
+
+    Spark divides both penalties by std(y), as it standardises the label; the
+    L1 part then acts as asked, the L2 part std(y) times too weakly, which the
+    passed values make up for."""
     d = _cast_double(train, list(features) + [label])
-    lr = LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=l1_ratio,
+    sd = d.agg(F.stddev_pop(label)).first()[0] or 1.0
+    l1, l2 = reg * l1_ratio, reg * (1 - l1_ratio) * sd
+    lr = LinearRegression(featuresCol="features", labelCol=label, regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0,
                           standardization=False, maxIter=200)
     return Pipeline(stages=_prep(features) + [lr]).fit(d)
 
@@ -109,7 +116,7 @@ def fit_logit_inference(df: DataFrame, features: Sequence[str], label: str) -> D
     coefs = list(m.coefficients) + [m.intercept]
     spark = df.sparkSession
     y = F.col(label)
-    p = F.col("prediction")
+    p = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col("prediction")))  # a certain prediction stays in the likelihood
     ll = asm.transform(d).transform(m.transform).agg(
         F.sum(y * F.log(p) + (1 - y) * F.log(1 - p)).alias("ll"), F.avg(y).alias("ybar"), F.count(F.lit(1)).alias("n"))
     ll0 = ll.select("ll", (F.col("n") * (F.col("ybar") * F.log("ybar") + (1 - F.col("ybar")) * F.log(1 - F.col("ybar")))).alias("ll0"))

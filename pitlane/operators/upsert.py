@@ -21,17 +21,19 @@ def _keys(k) -> list[str]:
 
 
 def assert_unique(df: DataFrame, keys, what: str = "source") -> DataFrame:
-    """Fail the job if `keys` repeat in `df` (checked while the data streams by)."""
+    """Fail the job if `keys` repeat in `df`.  Rows are counted by a partial
+    aggregate, so a key that repeats very often is folded before it moves."""
     keys = _keys(keys)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    rest = [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_key"), F.first(F.struct(*rest) if rest else F.lit(0)).alias("_row"))
     msg = F.concat(F.lit(f"duplicate key in {what}: "), F.to_json(F.struct(*keys)))
     # the check sits in a filter predicate, which is always evaluated (a
     # dropped helper column would be pruned away before it ran)
-    chk = df.withColumn("_n_key", n)
-    return chk.where(F.when(F.col("_n_key") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))).drop("_n_key")
+    g = g.where(F.when(F.col("_n_key") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
+    return g.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def _merge(target: DataFrame, source: DataFrame, keys, how: str, pick) -> DataFrame:
+def _merge(target: DataFrame, source: DataFrame, keys, how: str) -> tuple[DataFrame, list[str]]:
     keys = _keys(keys)
     t = target.select(*keys, F.struct(*[F.col(c) for c in target.columns if c not in keys]).alias("_t"),
                       F.lit(True).alias("_in_t"))
@@ -44,8 +46,12 @@ def _merge(target: DataFrame, source: DataFrame, keys, how: str, pick) -> DataFr
 def upsert_replace(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """INSERT ... ON CONFLICT DO UPDATE SET every non-key column = EXCLUDED.
     A NULL in the source overwrites.  Columns only in the target stay as they
-    were for matched rows and are NULL for new rows."""
-    j, keys = _merge(target, source, keys, "full_outer", None)
+    were for matched rows and are NULL for new rows; columns only in the source
+    are an error."""
+    extra = set(source.columns) - set(target.columns)
+    if extra:
+        raise ValueError(f"columns that the target doesn't have: {sorted(extra)}")
+    j, keys = _merge(target, source, keys, "full_outer")
     cols = [c for c in target.columns if c not in keys]
     scols = set(source.columns)
     out = [F.when(F.col("_in_s"), F.col(f"_s.{c}")).otherwise(F.col(f"_t.{c}")).alias(c) if c in scols
@@ -57,7 +63,7 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys, update_cols: Sequ
                    insert_defaults: dict | None = None) -> DataFrame:
     """On conflict replace only `update_cols`; new keys insert the source
     row (target-only columns NULL or `insert_defaults`)."""
-    j, keys = _merge(target, source, keys, "full_outer", None)
+    j, keys = _merge(target, source, keys, "full_outer")
     scols = set(source.columns)
     upd = set(update_cols)
     defaults = insert_defaults or {}
@@ -90,7 +96,7 @@ def upsert_merge_map(target: DataFrame, source: DataFrame, keys, doc: str = "fea
     keep_old=True : `doc = COALESCE(old, {})` (the row exists; its document is
     only defaulted), as the rest-days upsert does.  `set_cols` are replaced
     from the source on conflict (e.g. as_of_date)."""
-    j, keys = _merge(target, source, keys, "full_outer", None)
+    j, keys = _merge(target, source, keys, "full_outer")
     empty = F.create_map().cast("map<string,double>")
     old = F.coalesce(F.col(f"_t.{doc}"), empty)
     new = F.coalesce(F.col(f"_s.{doc}"), empty)
@@ -106,7 +112,8 @@ def upsert_merge_map(target: DataFrame, source: DataFrame, keys, doc: str = "fea
         elif c in set_cols:
             out.append(F.when(F.col("_in_s"), F.col(f"_s.{c}")).otherwise(F.col(f"_t.{c}")).alias(c))
         else:
-            out.append(F.coalesce(F.col(f"_t.{c}"), F.col(f"_s.{c}") if c in source.columns else F.lit(None)).alias(c))
+            new = F.col(f"_s.{c}") if c in source.columns else F.lit(None)
+            out.append(F.when(F.col("_in_t"), F.col(f"_t.{c}")).otherwise(new).alias(c))
     return j.select(*keys, *out)
 
 

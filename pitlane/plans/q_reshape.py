@@ -66,7 +66,7 @@ def q_b7(T):
 
 
 @register("safe_int", """
-SELECT game_id, player_id, line_no, min_raw, CAST(trunc(TRY_CAST(min_raw AS DOUBLE)) AS INTEGER) AS min_int FROM fx_player_logs""")
+SELECT game_id, player_id, line_no, min_raw, CAST(trunc(TRY_CAST(min_raw AS DOUBLE)) AS BIGINT) AS min_int FROM fx_player_logs""")
 def q_b8(T):
     p = T.fx_player_logs
     return p.select("game_id", "player_id", "line_no", "min_raw", S.safe_int(F.col("min_raw")).alias("min_int"))

@@ -2,8 +2,8 @@
 
 Every sink writes under a folder the caller names (on a cluster: the shared
 folder in `spark.checkpoint.dir`, see `scratch_dir`).  Snapshots are written
-to a NEW versioned folder and then published by a small pointer file, so a
-path that is being read is never overwritten in place (A8)."""
+to a NEW versioned folder and then published by a new small pointer; the newest
+pointer wins, and nothing published is ever overwritten (A8)."""
 
 from __future__ import annotations
 
@@ -29,18 +29,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 def day_documents(games: DataFrame, date: str, game_fields, props: DataFrame | None = None,
                   prop_fields=None, prop_order=None, top_k: int = 5, max_items: int = 5000) -> DataFrame:
     """A5: one nested document per day: `games[]` sorted, plus the day's `top_k`
-    props.  A day's document is split into `part`s of about `max_items`
-    games (hash of the game, part count from the day's size), so a hot day
-    never becomes one unbounded row; nothing is dropped, and an ordinary day
-    is the single part 0.  Props are cut to top_k per day by a
-    WindowGroupLimit before they are gathered and ride on part 0."""
+    props.
+
+    A day of more than `max_items` games is cut into `part`s by the games' places
+    in their order, so the parts' arrays follow each other, nothing is dropped,
+    and part 0 exists for every day with a game; it carries the props.  An
+    ordinary day is part 0 alone.  Props are cut to top_k per day by a
+    WindowGroupLimit before they are gathered."""
     from pyspark.sql import Window
-    sizes = games.groupBy(date).agg(F.ceil(F.count(F.lit(1)) / max_items).cast("int").alias("_parts"))
-    g = games.join(sizes, date)
-    part = F.when(F.col("_parts") <= 1, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in game_fields]), F.col("_parts")).cast("int"))
-    g = g.withColumn("part", part).groupBy(date, "part").agg(
-        F.array_sort(F.collect_list(F.struct(*game_fields))).alias("games"))
+
+    from pitlane.operators.positions import row_positions
+    g = row_positions(games, [date], list(game_fields), "_pos").withColumn("part", F.floor(F.col("_pos") / max_items).cast("int"))
+    g = g.groupBy(date, "part").agg(F.array_sort(F.collect_list(F.struct(*game_fields))).alias("games"))
     if props is None:
         return g
     w = Window.partitionBy(date).orderBy(*prop_order)
@@ -75,22 +75,57 @@ def append_payloads(rows: DataFrame, path: str) -> str:
     return path
 
 
+def _pointers(spark: SparkSession, base: str) -> list[str]:
+    """Names of the published pointers, oldest first; none if nothing was published."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/_pointers")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    done = [s.getPath() for s in fs.listStatus(path)]
+    return sorted(p.getName() for p in done if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def has_snapshot(spark: SparkSession, base: str) -> bool:
+    """Whether a version was ever published under `base`."""
+    return bool(_pointers(spark, base))
+
+
 def write_snapshot(df: DataFrame, base: str, fmt: str = "parquet") -> str:
-    """A8/U*: write `df` to a new version folder, then publish it by writing a
-    one-line pointer.  Readers see either the old or the new version."""
+    """A8/U*: write `df` to a new version folder, then publish it by a new
+    pointer whose name sorts after all others.  Nothing published is ever
+    changed or absent, so readers see either the old or the new version."""
     spark = df.sparkSession
+    base = base.rstrip("/")
     version = f"v-{uuid.uuid4().hex}"
-    target = f"{base.rstrip('/')}/{version}"
-    df.write.format(fmt).save(target)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/_current")
-    return target
+    df.write.format(fmt).save(f"{base}/{version}")
+    last = _pointers(spark, base)
+    number = int(last[-1].split("-")[1]) + 1 if last else 0
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.text(f"{base}/_pointers/p-{number:012d}-{uuid.uuid4().hex}")
+    return f"{base}/{version}"
 
 
 def read_snapshot(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """Read the version the pointer names."""
-    version = spark.read.text(f"{base.rstrip('/')}/_current").first()[0]
-    return spark.read.format(fmt).load(f"{base.rstrip('/')}/{version}")
+    """Read the version that the newest pointer names."""
+    base = base.rstrip("/")
+    pointers = _pointers(spark, base)
+    if not pointers:
+        raise FileNotFoundError(f"no snapshot was published under {base}")
+    version = spark.read.text(f"{base}/_pointers/{pointers[-1]}").first()[0]
+    return spark.read.format(fmt).load(f"{base}/{version}")
+
+
+def expire_snapshots(spark: SparkSession, base: str, keep: int = 2) -> int:
+    """Delete all but the newest `keep` versions (1 at least) with their pointers;
+    returns how many went.  Frames that still read an old version fail then."""
+    base = base.rstrip("/")
+    old = _pointers(spark, base)[:-max(1, keep)]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in old:
+        version = spark.read.text(f"{base}/_pointers/{name}").first()[0]
+        fs.delete(path(f"{base}/_pointers/{name}"), True)
+        fs.delete(path(f"{base}/{version}"), True)
+    return len(old)
 
 
 def refresh_snapshot(df: DataFrame, base: str, fmt: str = "parquet") -> DataFrame:

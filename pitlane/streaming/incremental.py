@@ -17,16 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from pitlane.operators.upsert import insert_if_absent, upsert_replace
-from pitlane.sources.sinks import read_snapshot, write_snapshot
+from pitlane.sources.sinks import has_snapshot, read_snapshot, write_snapshot
 
 
 def _merge_batch(target_base: str, keys: Sequence[str], how: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            current = read_snapshot(spark, target_base)
-        except Exception:  # noqa: BLE001 - first batch: no snapshot yet
-            current = None
+        # only a table that was never published is new; a read that fails fails the batch
+        current = read_snapshot(spark, target_base) if has_snapshot(spark, target_base) else None
         if current is None:
             merged = insert_if_absent(batch.limit(0), batch, keys) if how == "insert" else batch
         elif how == "insert":
