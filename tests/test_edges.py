@@ -92,17 +92,16 @@ def test_no_future_leak(spark):
     assert a[("g5", 1)] == b[("g5", 1)]
 
 
-@pytest.mark.parametrize("include_current,full_only,forced", [(True, False, None), (False, False, None), (True, True, None),
-                                                              (True, False, 10**9), (False, False, 10**9)])
-def test_rolling_rows_matches_plain_window(spark, include_current, full_only, forced):
+@pytest.mark.parametrize("include_current,full_only,chunk", [(True, False, 1), (False, False, 7), (True, True, 5),
+                                                             (True, False, 100_000), (False, False, 100_000)])
+def test_rolling_rows_matches_plain_window(spark, monkeypatch, include_current, full_only, chunk):
+    monkeypatch.setattr(pit, "CHUNK_ROWS", chunk)
     data = [(e, D(2020 + (i // 7), 1 + i % 12, 1 + (i * 3) % 27), f"m{i:03d}", None if i % 9 == 4 else float(i % 13))
-            for e in (1, 2) for i in range(40)]
+            for e in (1, None) for i in range(40)]
     df = spark.createDataFrame(data, "e int, d date, mid string, v double")
-    # forced=None -> bucketed halo plan; a large threshold -> plain window
-    out = pit.rolling_rows(df, "e", ["d", "mid"], {"r": "v"}, 5, include_current=include_current, full_only=full_only,
-                           max_rows_per_task=forced)
+    out = pit.rolling_rows(df, "e", ["d", "mid"], {"r": "v"}, 5, include_current=include_current, full_only=full_only)
     got = {(r.e, r.mid): r.r for r in out.collect()}
-    for e in (1, 2):
+    for e in (1, None):
         seq = sorted([x for x in data if x[0] == e], key=lambda x: (x[1], x[2]))
         for i, x in enumerate(seq):
             frame = seq[max(0, i - 4):i + 1] if include_current else seq[max(0, i - 5):i]
@@ -113,11 +112,11 @@ def test_rolling_rows_matches_plain_window(spark, include_current, full_only, fo
             assert got[(e, x[2])] == pytest.approx(exp) if exp is not None else got[(e, x[2])] is None
 
 
-@pytest.mark.parametrize("forced", [None, 10**9])
-def test_cumulative_prior_matches_brute_force(spark, forced):
-    data = [(1, D(2019 + i // 5, 1 + i % 12, 1 + i % 2), f"m{i:02d}", float((i * 7) % 11)) for i in range(25)]
+@pytest.mark.parametrize("shift", [0.0, 1e9])
+def test_cumulative_prior_matches_brute_force(spark, shift):
+    data = [(1, D(2019 + i // 5, 1 + i % 12, 1 + i % 2), f"m{i:02d}", shift + float((i * 7) % 11)) for i in range(25)]
     df = spark.createDataFrame(data, "e int, d date, mid string, v double")
-    out = {r.mid: r.vol for r in pit.cumulative_prior(df, "e", ["d", "mid"], "v", "vol", max_rows_per_task=forced).collect()}
+    out = {r.mid: r.vol for r in pit.cumulative_prior(df, "e", ["d", "mid"], "v", "vol").collect()}
     import statistics
     seq = sorted(data, key=lambda x: (x[1], x[2]))
     for i, x in enumerate(seq):
@@ -270,54 +269,58 @@ def test_metric_edges(spark):
 
 def test_stratified_split_exact(spark):
     df = spark.createDataFrame([(f"k{i}", i % 3 == 0) for i in range(101)], "k string, lab boolean")
-    out = X.stratified_split(df, "lab", "k", test_share=0.2, buckets=8)
+    out = X.stratified_split(df, "lab", "k", test_share=0.2)
     counts = {(r.lab, r.split): r.n for r in out.groupBy("lab", "split").agg(F.count("*").alias("n")).collect()}
     import math
     for lab, n in ((True, 34), (False, 67)):
         assert counts[(lab, "test")] == math.ceil(0.2 * n)
 
 
-def test_bucketed_plan_equals_plain_on_player_logs(spark):
+def test_chunked_frames_equal_plain_windows_on_player_logs(spark, monkeypatch):
     from conftest import SF_SMALL
+    from pyspark.sql import Window
     from pitlane.plans import q_pit
     from pitlane.sources.fixtures import Tables
+    monkeypatch.setattr(pit, "CHUNK_ROWS", 25)
     rows_ = q_pit._player_rows(Tables(spark, SF_SMALL))
+    rows_ = rows_.withColumn("player_id", F.when(F.col("player_id") % 3 > 0, F.col("player_id")))  # a third in the NULL entity
     aggs = {o: ("avg", c, -k, -1) for o, (c, k) in q_pit._PLAYER_FRAMES.items()}
-    aggs["max_pts_3"] = ("max", "pts", -3, 0)
-    aggs["sd_pts_4"] = ("stddev_samp", "pts", -4, -1)
-    a = pit.bucketed_trailing(rows_, "player_id", q_pit._PLAYER_ORDER, aggs, bucket=F.trunc(F.col("game_date"), "month"),
-                              max_rows_per_task=None)
-    b = pit.bucketed_trailing(rows_, "player_id", q_pit._PLAYER_ORDER, aggs, max_rows_per_task=10**9)
-    key = ["game_id", "player_id", "line_no"]
-    ra = {tuple(r[k] for k in key): r for r in a.collect()}
-    rb = {tuple(r[k] for k in key): r for r in b.collect()}
-    assert ra.keys() == rb.keys()
-    for k in ra:
-        for name in aggs:
-            x, y = ra[k][name], rb[k][name]
-            assert (x is None and y is None) or x == pytest.approx(y), (k, name, x, y)
-
-
-@pytest.mark.parametrize("forced", [None, 10**9])
-def test_exact_quantiles_both_plans(spark, forced):
+    aggs |= {"max_pts_3": ("max", "pts", -3, 0), "sd_pts_4": ("stddev_samp", "pts", -4, -1), "n_4": ("count", "pts", -4, -1), "sum_4": ("sum", "pts", -4, 0)}
+    order = [*q_pit._PLAYER_ORDER, "pts", "reb", "ast"]
+    a = pit.trailing(rows_, "player_id", order, aggs)
+    fns = {"avg": F.avg, "max": F.max, "stddev_samp": F.stddev_samp, "count": F.count, "sum": F.sum}
+    w = Window.partitionBy("player_id").orderBy(*order)
+    b = rows_.select("*", *[fns[fn](c).over(w.rowsBetween(x, y)).alias(name) for name, (fn, c, x, y) in aggs.items()])
+    assert a.schema == b.schema
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+@pytest.mark.parametrize("float_buckets", [1, 1 << 18])
+def test_exact_quantiles(spark, monkeypatch, float_buckets):
+    from pitlane.operators import positions
     from pitlane.operators.aggregate import exact_quantiles, group_mode
     import numpy as np
+    monkeypatch.setattr(positions, "FLOAT_BUCKETS", float_buckets)
     rng = np.random.default_rng(7)
+    inf = float("inf")
     data = [("hot", float(v)) for v in rng.lognormal(size=3000)] + [("hot", 1.5)] * 200 + \
-           [("small", v) for v in (3.0, 1.0, 2.0, None)] + [("one", 4.0), ("nulls", None)]
+           [("small", v) for v in (3.0, 1.0, 2.0, None)] + [("one", 4.0), ("nulls", None)] + \
+           [(None, v) for v in (1.0, 2.0, 3.0)] + [("wide", v) for v in (-inf, -1e300, -1e-300, 0.0, 1e-300, 1e300, inf)] + \
+           [("far", 1e9 + i) for i in range(101)]
     df = spark.createDataFrame(data, "g string, x double")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = {r.g: r for r in exact_quantiles(df, ["g"], "x", probs, max_rows_per_group=forced,
-                                           buckets=16, gather=50).collect()}
-    for g in ("hot", "small", "one"):
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "x", probs).collect()}
+    for g in ("hot", "small", "one", None, "far"):
         xs = np.array([v for k, v in data if k == g and v is not None])
         for i, p in enumerate(probs):
-            assert got[g][f"q{i}"] == pytest.approx(float(np.quantile(xs, p)))
-    assert got["nulls"]["q0"] is None
-    glob = exact_quantiles(df, [], "x", [0.5], max_rows_per_group=forced, buckets=16, gather=50).first()[0]
+            assert got[g][f"q{i}"] == pytest.approx(float(np.quantile(xs, p)), rel=1e-12)
+    assert got["nulls"]["q0"] is None and (got["wide"]["q0"], got["wide"]["q2"], got["wide"]["q4"]) == (-inf, 0.0, inf)
+    glob = exact_quantiles(df, [], "x", [0.5]).first()[0]
     assert glob == pytest.approx(float(np.median([v for _, v in data if v is not None])))
+    assert exact_quantiles(df.limit(0), [], "x", [0.5]).collect()[0][0] is None
     modes = {r.g: r.mode_x for r in group_mode(df, ["g"], "x").collect()}
     assert modes["hot"] == 1.5 and modes["small"] == 1.0
+    assert [r[0] for r in group_mode(df.where("x is null"), [], "x").collect()] == [None]
 
 
 @pytest.mark.parametrize("bucket", ["day", "hour", None])
@@ -347,21 +350,122 @@ def test_day_documents_split_hot_day(spark):
     from pitlane.sources.sinks import day_documents
     games = spark.createDataFrame([(D(2024, 1, 1), f"g{i:03d}", i) for i in range(250)] + [(D(2024, 1, 2), "x", 1)],
                                   "day date, game_id string, pts int")
-    docs = day_documents(games, "day", ["game_id", "pts"], max_items=100).collect()
-    hot = [r for r in docs if r.day == D(2024, 1, 1)]
-    assert len(hot) == 3 and sum(len(r.games) for r in hot) == 250   # split, nothing dropped
+    props = spark.createDataFrame([(D(2024, 1, d), i) for d in (1, 2) for i in range(9)], "day date, gap int")
+    docs = day_documents(games, "day", ["game_id", "pts"], props, ["gap"], ["gap"], max_items=100).collect()
+    hot = sorted((r for r in docs if r.day == D(2024, 1, 1)), key=lambda r: r.part)
+    assert [r.part for r in hot] == [0, 1, 2] and [g.game_id for r in hot for g in r.games] == [f"g{i:03d}" for i in range(250)]
     assert [len(r.games) for r in docs if r.day == D(2024, 1, 2)] == [1]
+    assert {(r.day.day, r.part): len(r.top_props) for r in docs} == {(1, 0): 5, (1, 1): 0, (1, 2): 0, (2, 0): 5}
+    tiny = day_documents(games, "day", ["game_id", "pts"], props, ["gap"], ["gap"], max_items=1).collect()
+    assert sum(len(r.top_props) for r in tiny) == 10
 
 
 @pytest.mark.parametrize("ascending", [True, False])
-def test_rank_in_group_bucketed_equals_window(spark, ascending):
-    data = [("s1", float(v % 17) if v % 11 else None) for v in range(300)] + [("s2", 1.0), ("s2", 1.0), ("s2", 0.5)]
+@pytest.mark.parametrize("kind", ["double", "bigint", "string", "date"])
+def test_rank_in_group_equals_window(spark, ascending, kind):
+    from pyspark.sql import Window
+    data = [("s1", float(v % 17) if v % 11 else None) for v in range(300)] + [("s2", 1.0), ("s2", 1.0), ("s2", 0.5)] + [(None, 3.0), (None, 2.0), (None, None)]
     df = spark.createDataFrame(data, "g string, x double").withColumn("id", F.monotonically_increasing_id())
-    a = {r.id: r.rk for r in K.rank_in_group(df, "g", "x", "rk", ascending, max_rows_per_task=None, buckets=8).collect()}
-    b = {r.id: r.rk for r in K.rank_in_group(df, "g", "x", "rk", ascending, max_rows_per_task=10**9).collect()}
+    x = {"double": F.when(F.col("x") == 3, float("inf")).when(F.col("x") == 4, float("nan")).otherwise(F.col("x")), "bigint": (F.col("x") + F.lit(2**53)).cast("bigint"),
+         "string": F.concat(F.lit("name "), F.col("x").cast("string")), "date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("x").cast("int"))}[kind]
+    if kind == "bigint":
+        x = F.when(F.col("x") == 1, F.lit(2**53 + 1)).when(F.col("x") == 2, F.lit(2**53)).otherwise(F.col("x").cast("bigint"))
+    df = df.withColumn("x", x)
+    a = {r.id: r.rk for r in K.rank_in_group(df, "g", "x", "rk", ascending).collect()}
+    o = F.col("x").asc() if ascending else F.col("x").desc()
+    b = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.partitionBy("g").orderBy(o))).collect()}
     assert a == b
 
 
+def test_stratified_split_keeps_null_labels_and_keys(spark):
+    df = spark.createDataFrame([(f"k{i}" if i % 5 else None, None if i % 4 == 0 else i % 2) for i in range(40)], "k string, lab int")
+    out = X.stratified_split(df, "lab", "k")
+    assert out.count() == 40 and out.where("lab is null and split = 'test'").count() == 2
+
+
+def test_fill_mode_of_an_empty_column(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, None)], "id int, x string, y string")
+    assert rows(X.fill_mode(df, ["x", "y"])) == [(1, None, "a"), (2, None, "a")]
+
+
+def test_one_hot_many_and_declared(spark):
+    df = spark.createDataFrame([(i, f"c{i:03d}") for i in range(150)] + [(150, None)], "id int, c string")
+    assert len(X.one_hot(df, "c").columns) == 152
+    few = X.one_hot(df, "c", categories=["c001", "zzz"])
+    assert few.columns == ["id", "c", "c_c001", "c_zzz"] and few.agg(F.sum("c_c001")).first()[0] == 1
+    assert X.one_hot_vector(df, "c", "v").where("id = 3").first().v.size == 150
+
+
+def test_merge_map_keeps_null_of_unlisted_columns(spark):
+    t = spark.createDataFrame([(1, {"a": 1.0}, None), (2, {"b": 1.0}, 5)], "k int, feature_json map<string,double>, other int")
+    s = spark.createDataFrame([(1, {"a": 2.0}, 7), (3, {"c": 1.0}, 8)], "k int, feature_json map<string,double>, other int")
+    got = {r.k: (r.feature_json, r.other) for r in U.upsert_merge_map(t, s, ["k"]).collect()}
+    assert got == {1: ({"a": 2.0}, None), 2: ({"b": 1.0}, 5), 3: ({"c": 1.0}, 8)}
+
+
+def test_upsert_replace_rejects_unknown_columns(spark):
+    t = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(ValueError, match="extra"):
+        U.upsert_replace(t, t.withColumn("extra", F.lit(1)), ["k"])
+
+
+def test_or_key_join_without_right_keys_is_distinct(spark):
+    left = spark.createDataFrame([(1, "x")], "team int, name string")
+    games = spark.createDataFrame([("d", 1, 2), ("d", 3, 1), ("d", 1, 1)], "day string, home int, away int")
+    assert J.or_key_join(left, games, "team", ["home", "away"], ["team", "day"]).count() == 1
+
+
+def test_grading_with_a_match_finished_twice(spark):
+    hist = spark.createDataFrame([("g", 0.7, 100.0, 90.0, None, None)], "game_id string, pred_home_prob double, pred_home_score double, pred_away_score double, actual_home_score int, actual_away_score int")
+    games = spark.createDataFrame([("g", "final", 101, 99), ("g", "Final ", 101, 99)], "game_id string, status string, home_pts int, away_pts int")
+    assert V.grade_predictions(hist, games).count() == 1
+    with pytest.raises(Exception, match="duplicate key"):
+        V.grade_predictions(hist, games.union(spark.createDataFrame([("g", "final", 1, 2)], games.schema))).collect()
+
+
+def test_dual_side_join_contract(spark):
+    m = spark.createDataFrame([("g", 1, 2, {"a": 1})], "game_id string, home_team_id int, away_team_id int, extra map<string,int>")
+    e = spark.createDataFrame([("g", 1, 5), ("g", 2, 6)], "game_id string, team_id int, form int")
+    r = J.dual_side_join(m, e, ["form"]).collect()[0]
+    assert (r.home_form, r.away_form, r.extra) == (5, 6, {"a": 1})
+    for a, b in ((m.union(m), e), (m, e.union(e))):
+        with pytest.raises(Exception, match="more than one row"):
+            J.dual_side_join(a, b, ["form"]).collect()
+
+
+def test_stream_merge_does_not_lose_the_table(spark, tmp_path, monkeypatch):
+    from pitlane.sources import sinks
+    from pitlane.streaming import incremental
+    base = str(tmp_path / "t")
+    assert not sinks.has_snapshot(spark, base)
+    sinks.write_snapshot(spark.range(1000).selectExpr("id as k", "id as v"), base)
+    batch = spark.range(998, 1001).selectExpr("id as k", "-id as v")
+    merge = incremental._merge_batch(base, ["k"], "insert")
+
+    def broken(*a, **b):
+        raise OSError("read error")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "read_snapshot", broken)
+        with pytest.raises(OSError):
+            merge(batch, 0)
+    assert sinks.read_snapshot(spark, base).count() == 1000
+    merge(batch, 0)
+    merge(batch, 0)  # a replay changes nothing
+    assert sinks.read_snapshot(spark, base).agg(F.count("*"), F.sum("v")).first() == (1001, sum(range(1000)) - 1000)
+    assert sinks.expire_snapshots(spark, base, keep=1) == 2 and sinks.read_snapshot(spark, base).count() == 1001
+
+
+def test_session_keeps_submitted_settings():
+    import subprocess
+    import sys
+    code = ("from pitlane.session import get_session; s = get_session('local[1]');"
+            "print('PARTS', s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.session.timeZone'))")
+    env = {**__import__("os").environ, "PYSPARK_SUBMIT_ARGS": "--conf spark.sql.shuffle.partitions=400 --conf spark.ui.enabled=false pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, timeout=120, cwd=__import__("conftest").ROOT)
+    assert "PARTS 400 UTC" in out.stdout, out.stderr[-500:]
+
+
 def test_evolve_schema_edges(spark):
     df = spark.createDataFrame([(1, "a")], "ID int, Name string")
     out = U.evolve_schema(df, renames={"player_id": ["id", "person_id"], "name": []},

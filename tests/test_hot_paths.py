@@ -1,13 +1,13 @@
-"""The hot-key plans, forced on: thresholds at 0 send every rolling window
-through the bucketed halo plan and every exact quantile through distributed
-refinement; results must still equal the DuckDB oracles."""
+"""The position plans at their smallest parts: one value bucket for floats, two
+integers in a bucket, chunks of a few rows.  Results must still equal the
+DuckDB oracles."""
 
 import pytest
 
-import __spark_entry__ as E
+from pitlane.plans.registry import all_oracles, all_queries
 from conftest import SF_SMALL
 from oracle_compare import duck, run_pair
-from pitlane.operators import aggregate, pit, ranking
+from pitlane.operators import pit, positions
 
 HOT = ["rolling_avg_incl", "rolling_avg_excl", "rolling_avg_full", "team_features_with_rest", "strength_of_schedule",
        "player_rolling", "blended_form", "match_matrix", "group_median_mode", "describe", "fill_group_median",
@@ -18,15 +18,15 @@ HOT = ["rolling_avg_incl", "rolling_avg_excl", "rolling_avg_full", "team_feature
 
 @pytest.fixture(scope="module")
 def forced():
-    old = (pit.MAX_ROWS_PER_WINDOW_TASK, aggregate.MAX_ROWS_PER_QUANTILE_GROUP, ranking.MAX_ROWS_PER_RANK_TASK)
-    pit.MAX_ROWS_PER_WINDOW_TASK = 0
-    aggregate.MAX_ROWS_PER_QUANTILE_GROUP = 0
-    ranking.MAX_ROWS_PER_RANK_TASK = 0
-    yield
-    pit.MAX_ROWS_PER_WINDOW_TASK, aggregate.MAX_ROWS_PER_QUANTILE_GROUP, ranking.MAX_ROWS_PER_RANK_TASK = old
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(pit, "CHUNK_ROWS", 7)
+        m.setattr(positions, "FLOAT_BUCKETS", 1)
+        m.setattr(positions, "INT_BITS", 1)
+        m.setattr(positions, "STRING_CHARS", 1)
+        yield
 
 
 @pytest.mark.parametrize("name", HOT)
 def test_hot_plan_matches_oracle(spark, forced, name):
-    problems, _ = run_pair(spark, duck(SF_SMALL), name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
+    problems, _ = run_pair(spark, duck(SF_SMALL), name, all_queries()[name], all_oracles()[name], SF_SMALL)
     assert not problems, "\n".join(problems)

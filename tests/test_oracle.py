@@ -6,8 +6,10 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_compare import duck, run_pair
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+from pitlane.plans.registry import all_oracles, all_queries
+
+QUERIES = all_queries()  # without those of the optional subpackage, which has its own tests
+ORACLES = all_oracles()
 ML = {"fit_win", "fit_ridge", "fit_gbt", "fit_lasso_enet", "fit_logit_inference", "fit_random_forest", "oof_predict",
       "stack_ridge", "tune", "score_batch", "player_projection", "backtest"}
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from pitlane.plans.registry import all_queries
 from conftest import SF_SMALL
 
 SKIP = {"fit_win", "fit_ridge", "fit_gbt", "fit_lasso_enet", "fit_logit_inference", "fit_random_forest", "oof_predict",
@@ -16,9 +16,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - SKIP))
 def test_no_nested_loop_join_with_condition(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(all_queries()[name](spark, SF_SMALL))
     for line in plan.splitlines():
         if "BroadcastNestedLoopJoin" in line or "CartesianProduct" in line:
             # only one-row crosses (scalar aggregates) are allowed: no join condition
@@ -26,10 +26,10 @@ def test_no_nested_loop_join_with_condition(spark, name):
 
 
 def test_or_join_is_an_equi_join(spark):
-    plan = _plan(E.queries()["or_key_join"](spark, SF_SMALL))
+    plan = _plan(all_queries()["or_key_join"](spark, SF_SMALL))
     assert "NestedLoop" not in plan
 
 
 def test_last_n_form_prelimits_before_shuffle(spark):
-    plan = _plan(E.queries()["last_n_form"](spark, SF_SMALL))
+    plan = _plan(all_queries()["last_n_form"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan
