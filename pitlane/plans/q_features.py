@@ -342,3 +342,46 @@ def q_j2(T):
                     (c("home_rest_days") - c("away_rest_days")).alias("rest_days_diff"),
                     F.when(c("home_rest_days") == 0, 1).otherwise(0).alias("home_back_to_back"),
                     F.lit(1).alias("home_advantage"))
+
+
+# The day that is scored: the latest one with a scheduled match.
+_AS_OF_SQL = "(SELECT max(game_date_et) FROM fx_games WHERE lower(trim(status)) = 'scheduled')"
+
+
+def scoring_day(T):
+    """One-row frame `as_of`: the latest day with a scheduled match."""
+    return T.fx_games.where(norm_status(c("status")) == "scheduled").agg(F.max("game_date_et").alias("as_of"))
+
+
+def day_matrix(T, as_of):
+    """Features of every match of a day, whatever its state, from what was known
+    before the day; matches whose teams have no history stay, with NULLs.
+
+    `as_of` is a one-row frame with the column `as_of`; only that day's matches
+    are asked for, so the output grows with the day, not with the history."""
+    games = T.fx_games.join(F.broadcast(as_of), c("game_date_et") == c("as_of"), "left_semi")
+    asked = games.select("game_id")
+    form = pit.last_n_form(T.fx_games, ns=(5, 10), requests="all").join(asked, "game_id", "left_semi")
+    rest = pit.rest_days(T.fx_games, season_type="regular", requests="all").select("game_id", "team_id", "rest_days")
+    rows = form.join(rest, ["game_id", "team_id"], "left").select(
+        "game_id", "team_id", c("rolling_pd_5").cast("double").alias("pd5"), c("rolling_pd_10").cast("double").alias("pd10"), "rest_days")
+    m = dual_side_join(games.select("game_id", "game_date_et", "home_team_id", "away_team_id", "status"), rows,
+                       ["pd5", "pd10", "rest_days"], how="left")
+    return m.select("game_id", "game_date_et", norm_status(c("status")).alias("state"),
+                    (c("home_pd5") - c("away_pd5")).alias("rolling_pd_5_diff"),
+                    (c("home_pd10") - c("away_pd10")).alias("rolling_pd_10_diff"),
+                    (c("home_rest_days") - c("away_rest_days")).alias("rest_days_diff"),
+                    F.when(c("home_rest_days") == 0, 1).otherwise(0).alias("home_back_to_back"),
+                    F.lit(1).alias("home_advantage"))
+
+
+@register("day_matrix", f"""WITH {_PLAYED}, {_form_cte(f"day = {_AS_OF_SQL}")}, {_rest_cte(f"day = {_AS_OF_SQL}")},
+folded AS (SELECT game_id, {side("rolling_pd_5::DOUBLE", True)} - {side("rolling_pd_5::DOUBLE", False)} AS rolling_pd_5_diff,
+    {side("rolling_pd_10::DOUBLE", True)} - {side("rolling_pd_10::DOUBLE", False)} AS rolling_pd_10_diff,
+    {side("rest_days", True)} - {side("rest_days", False)} AS rest_days_diff, CAST(coalesce({side("rest_days", True)} = 0, FALSE) AS INTEGER) AS home_back_to_back
+  FROM (SELECT form.game_id, form.team_id, form.is_home, rolling_pd_5, rolling_pd_10, rest_days FROM form LEFT JOIN rest USING (game_id, team_id)) GROUP BY game_id)
+SELECT game_id, game_date_et, lower(trim(status)) AS state, rolling_pd_5_diff, rolling_pd_10_diff, rest_days_diff, home_back_to_back, 1 AS home_advantage
+FROM folded JOIN fx_games USING (game_id)""")
+def q_day_matrix(T):
+    """J1 for scoring: all matches of the latest day with a scheduled match."""
+    return day_matrix(T, scoring_day(T))

@@ -9,7 +9,8 @@ from pitlane.operators import pit
 from pitlane.operators.evaluate import split_scores
 from pitlane.operators.features import robust_scale, stratified_split
 from pitlane.operators.joins import or_key_join
-from pitlane.plans.q_features import _te, match_matrix
+from pitlane.operators.ranking import top_k
+from pitlane.plans.q_features import _te, day_matrix, match_matrix, q_j2, scoring_day
 from pitlane.plans.q_agg import _ranks
 from pitlane.plans.registry import register
 from pitlane.session import materialize
@@ -110,15 +111,17 @@ def q_k10(T):
     return T.spark.createDataFrame(rows, "reg_param double, avg_rmse double")
 
 
+_DAY_FEATURES = ["rolling_pd_5_diff", "rolling_pd_10_diff", "rest_days_diff", "home_back_to_back", "home_advantage"]
+
+
 @register("score_batch")
 def q_k11(T):
-    """Score every game of the latest match date with the win model."""
-    m = _split_matrix(T)
-    model = M.fit_win(m.where(c("split") == "train"), WIN_FEATURES, "home_win")
-    last = T.fx_games.where(norm_status(c("status")) == "final").agg(F.max("game_date_et").alias("_d"))
-    day = m.join(T.fx_games.select("game_id", "game_date_et"), "game_id").join(
-        F.broadcast(last), c("game_date_et") == c("_d")).drop("_d")
-    return M.score_batch(model, day, ["game_id", "game_date_et"])
+    """Win probabilities for every match of the latest day with a scheduled
+    match, whatever its state; the model is fitted on matches before that day."""
+    day = scoring_day(T)
+    train = q_j2(T).join(F.broadcast(day), c("game_date_et") < c("as_of")).drop("as_of")
+    model = M.fit_win(materialize(train), _DAY_FEATURES, "home_win")
+    return M.score_batch(model, day_matrix(T, day), ["game_id", "game_date_et", "state"])
 
 
 _PLAYER_FEATS = ["pts_l5", "reb_l5", "ast_l5", "min_l5", "pts_l10", "reb_l10", "ast_l10", "pts_l20"]
@@ -126,27 +129,41 @@ _PLAYER_FEATS = ["pts_l5", "reb_l5", "ast_l5", "min_l5", "pts_l10", "reb_l10", "
 
 @register("player_projection")
 def q_l8(T):
-    """Per player with a scheduled game: current L5/L10/L20 features -> three
-    ridge projections (pts, reb, ast) and the gap to the player's average."""
+    """The daily props job: one projection of points, rebounds and assists per
+    player whose team plays on the latest scheduled day that has such players, from L5/L10/L20
+    features known before it, to one decimal, with the gap to the player's
+    average and the rank of the gap (the published document takes ranks 1 to 5)."""
     from pitlane.functions.scalars import parse_duration
     logs = T.fx_player_logs.withColumn("minutes", parse_duration(c("min_raw")))
     order = ["game_date", "game_id", "line_no"]
     frames = {"pts_l5": ("pts", 5), "reb_l5": ("reb", 5), "ast_l5": ("ast", 5), "min_l5": ("minutes", 5),
               "pts_l10": ("pts", 10), "reb_l10": ("reb", 10), "ast_l10": ("ast", 10), "pts_l20": ("pts", 20)}
+    sides = T.fx_games.where(norm_status(c("status")) == "scheduled").select(
+        "game_date_et", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    day = sides.join(T.fx_players, "team_id", "left_semi").agg(F.max("game_date_et").alias("as_of"))
+    logs = logs.join(F.broadcast(day), c("game_date") < c("as_of")).drop("as_of")
     hist = materialize(pit.trailing(logs, "player_id", order, {o: ("avg", col, -k, -1) for o, (col, k) in frames.items()})
                        .where(c("pts_l20").isNotNull()))
     now = pit.current_last_n(logs, "player_id", order, frames)
-    games = T.fx_games.where(norm_status(c("status")) == "scheduled").select("game_id", "game_date_et", "home_team_id", "away_team_id")
+    games = (T.fx_games.where(norm_status(c("status")) == "scheduled").join(F.broadcast(day), c("game_date_et") == c("as_of"))
+             .select("game_id", "game_date_et", "home_team_id", "away_team_id"))
     active = or_key_join(T.fx_players, games, "team_id", ["home_team_id", "away_team_id"],
                          ["player_id", "team_id", "game_id", "game_date_et"])
-    feats = active.join(now, "player_id")
+    one = active.groupBy("player_id").agg(F.min(F.struct("game_id", "game_date_et")).alias("g")).select("player_id", "g.*")
+    feats = one.join(now, "player_id")
     out = feats
     for tgt in ("pts", "reb", "ast"):
         model = M.fit_ridge(hist, _PLAYER_FEATS, tgt)
         out = model.transform(out).withColumnRenamed("prediction", f"proj_{tgt}").drop("features", "_raw",
                                                                                          *[f"_imp_{f}" for f in _PLAYER_FEATS])
-    return out.select("player_id", "game_id", "game_date_et", "proj_pts", "proj_reb", "proj_ast",
-                      c("pts_l20").alias("avg_pts"), (c("proj_pts") - c("pts_l20")).alias("gap"))
+    gap = F.round(c("proj_pts"), 1) - F.round(c("pts_l20"), 1)
+    out = materialize(out.select("player_id", "game_id", "game_date_et", *[F.round(f"proj_{t}", 1).alias(f"proj_{t}") for t in ("pts", "reb", "ast")],
+                                 F.round("pts_l20", 1).alias("avg_pts"), F.round(gap, 1).alias("gap")))
+    top = top_k(out.select("player_id", F.abs("gap").alias("_size")), 5, [c("_size").desc(), c("player_id")])
+    top = top.agg(F.array_sort(F.collect_list(F.struct((-c("_size")).alias("s"), "player_id"))).alias("_top"))  # five ids
+    top = top.select(F.transform("_top", lambda t: t["player_id"]).alias("_top"))
+    place = F.array_position(F.col("_top"), c("player_id"))
+    return out.crossJoin(F.broadcast(top)).withColumn("top_rank", F.when(place > 0, place)).drop("_top")
 
 
 @register("backtest")
