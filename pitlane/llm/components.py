@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.shared import stored
+from pitlane.llm.shared import forget, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -34,7 +34,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = stored(small.select("e.u", "e.v").where("u != v").distinct(), "cc")
+        last, edges = edges, stored(small.select("e.u", "e.v").where("u != v").distinct(), "cc")
+        forget(last)
         after = _state(edges)
         if after == before:
             break

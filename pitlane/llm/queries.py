@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pitlane.llm import decontaminate, jaccard_join, license_scan, line_dedup, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
-from pitlane.llm.shared import scratch_path
+from pitlane.llm.shared import code_for_workers, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,7 @@ def _query(fn):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    code_for_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -24,10 +25,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it back.
 
-    Cuts the lineage: a lost executor rereads files that all executors share."""
-    path = scratch_path(df.sparkSession, name)
+    Cuts the lineage: a lost executor rereads files that all executors share.
+    What was shuffled for it isn't needed any more; Spark deletes such files once
+    the driver has collected the plans' garbage, which is asked for here."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    spark._jvm.System.gc()
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the folders of `stored` tables that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def code_for_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (a cluster installs it)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    held = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in held.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, held) if x)
 
 
 def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

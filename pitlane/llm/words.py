@@ -14,6 +14,9 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
+#: Odd factors of the words' places in a shingle (16 words at most).
+_FACTORS = np.array([pow(0xD1342543DE82EF95, j + 1, 1 << 64) | 1 for j in range(16)], np.uint64)
+
 #: A-Z to a-z, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -77,18 +80,27 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.
     words = span_hashes(data, starts, ends)
     count = np.bincount(row, minlength=len(offsets) - 1)
     first = np.cumsum(count) - count
-    place = np.arange(len(words)) - first[row]
-    short = count < k
-    lead = np.flatnonzero(np.where(short[row], place == 0, place <= count[row] - k))
-    width = np.where(short[row[lead]], count[row[lead]], k)
-    h = np.zeros(len(lead), np.uint64)
+    # every run of k words, also across rows; then those inside a row
+    runs = max(len(words) - k + 1, 0)
+    h = np.zeros(runs, np.uint64)
     for j in range(k):
-        use = width > j
-        h[use] = mix(h[use] * _U(0x100000001B3) + words[lead[use] + j] + _U(j + 1))
-    h = mix(h + width.astype(np.uint64)).view(np.int64)
-    rows = row[lead]
-    order = np.lexsort((h, rows))
-    h, rows = h[order], rows[order]
+        h += words[j: j + runs] * _FACTORS[j]
+    place = np.arange(len(words)) - first[row]
+    inside = place[:runs] <= count[row[:runs]] - k
+    h, rows = mix(h[inside]), row[:runs][inside]
+    short = np.flatnonzero((count < k) & (count > 0))
+    if len(short):
+        whole = np.array([(words[first[r]: first[r] + count[r]] * _FACTORS[: count[r]]).sum() for r in short], np.uint64)
+        whole = mix(whole + count[short].astype(np.uint64))
+        at = np.searchsorted(rows, short)
+        h, rows = np.insert(h, at, whole), np.insert(rows, at, short)
+    h = h.view(np.int64)
+    ends = np.searchsorted(rows, np.arange(len(count)), "right")
+    begin = 0
+    for end in ends.tolist():
+        if end - begin > 1:
+            h[begin:end].sort()
+        begin = end
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])
     return rows[new], h[new]
