@@ -43,6 +43,11 @@ def canonical(word: Column) -> Column:
     return F.when(F.startswith(word, F.lit(_MARK)), F.substring(word, 1, 2)).otherwise(word)
 
 
+def plain(word: Column) -> Column:
+    """A word of a template with names as the words that they are."""
+    return F.when(F.startswith(word, F.lit(_MARK + "p")), F.substr(word, F.lit(3))).otherwise(canonical(word))
+
+
 def _windows(df: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
     """One row for each template window: `keep`, its hash `h`, and what `_placed` needs.
 
@@ -58,7 +63,10 @@ def _windows(df: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
 
     # the word hashes are bound to a lambda's variable: as a column they would be put in where they are used, and so made anew for each window
     hashed = F.transform("w", lambda w: F.xxhash64(canonical(w)))
-    bound = F.transform(F.array(hashed), lambda hw: F.concat(*[of_size(hw, k) for k in sizes]))
+    all_sizes = lambda h: F.transform(F.array(h), lambda hw: F.concat(*[of_size(hw, k) for k in sizes]))
+    # where a piece has names, its windows come a second time with the names as words
+    names = F.when(F.exists("w", lambda w: F.startswith(w, F.lit(_MARK + "p"))), all_sizes(F.transform("w", lambda w: F.xxhash64(plain(w))))).otherwise(F.array(F.array().cast("array<bigint>")))
+    bound = F.array(F.flatten(F.concat(all_sizes(hashed), names)))
     df = df.select(*keep, "off", "w", F.get(bound, F.lit(0)).alias("hs"))
     # the outer form: before the inner one Spark puts a filter on the array's size, for which it would build the array twice
     return df.select(*keep, "off", "w", F.posexplode_outer("hs").alias("place", "h")).where("h is not null")
@@ -67,7 +75,7 @@ def _windows(df: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
 def _placed(df: DataFrame, sizes: list[int], size_name: str, at_name: str, words_name: str) -> DataFrame:
     """Replaces off, w and place by a window's size, its place in the text (from 0) and its words."""
     before, size, at = F.lit(0), F.lit(None).cast("int"), F.lit(None).cast("int")
-    for k in sizes:  # the place in the joined array tells the size and the place in the piece
+    for k in sizes * 2:  # names as placeholders, then as words; the place in the joined array tells the size and the place in the piece
         count = F.greatest(F.size("w") - k + 1, F.lit(0))
         here = size.isNull() & (F.col("place") < before + count)
         size, at, before = F.when(here, k).otherwise(size), F.when(here, F.col("place") - before).otherwise(at), before + count
@@ -85,7 +93,10 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFra
     consistently: one value of the item to one value of the document wherever it
     recurs. A document holds an item if windows on consistent diagonals cover
     COVER of its words or RUN words in a row; `changed` tells that some value
-    differs, so the item was re-parameterised.
+    differs, so the item was re-parameterised. Windows with names are also
+    compared with the names as plain lower-cased words, on both sides, so copies
+    in lower case or capitals, or wrapped before a name, are found; where such a
+    copy has another name, windows with that name aren't.
 
     Items of SHORTEST to WINDOW - 1 words are one window; shorter ones, and
     windows of mostly placeholders, match nothing. Null and empty texts hold
@@ -100,8 +111,11 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFra
     sizes = [WINDOW, *sorted(short)]
     ours = _placed(_windows(items, ["item", "item_id", "item_words"], sizes), sizes, "size", "ipos", "iw")
     ours = ours.where(F.col("size") == F.least(F.col("item_words"), F.lit(WINDOW))).distinct()
+    # windows with names come twice from `_windows`; which hash is which is made anew here
+    as_words = F.transform("iw", lambda w: F.when(F.startswith(w, F.lit(_MARK + "p")), plain(w)).otherwise(w))
+    ours = ours.drop("h").distinct().withColumn("iw", F.explode(F.array_distinct(F.array("iw", as_words)))).withColumn("h", F.xxhash64(F.transform("iw", lambda w: F.xxhash64(canonical(w)))))
     # an item's first word may be taken for a name where the item stands inside a sentence
-    lead = ours.where(F.col("ipos") == 0).withColumn("iw", F.concat(F.array(F.concat(F.lit(_MARK + "p"), F.get("iw", F.lit(0)))), F.slice("iw", 2, WINDOW)))
+    lead = ours.where((F.col("ipos") == 0) & ~F.startswith(F.get("iw", F.lit(0)), F.lit(_MARK))).withColumn("iw", F.concat(F.array(F.concat(F.lit(_MARK + "p"), F.get("iw", F.lit(0)))), F.slice("iw", 2, WINDOW)))
     ours = ours.union(lead.withColumn("h", F.xxhash64(F.transform("iw", lambda w: F.xxhash64(canonical(w))))))
     literal = F.size(F.filter("iw", lambda w: ~F.startswith(w, F.lit(_MARK))))
     ours = ours.where(literal >= F.ceil(F.col("size") * LITERAL))
@@ -113,8 +127,10 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFra
     else:
         hit = _placed(theirs, sizes, "dsize", "at", "dw").join(ours, "h")
     # compared word by word; as a filter this would go into the join and keep it from being compiled with the scan
-    same = (F.col("size") == F.col("dsize")) & F.forall(F.zip_with("iw", "dw", lambda a, b: canonical(a) == canonical(b)), lambda x: x)
-    slots = F.filter(F.zip_with("iw", "dw", lambda a, b: F.struct(a.alias("i"), b.alias("d"))), lambda s: F.startswith(s["i"], F.lit(_MARK)))
+    equal = lambda form: F.forall(F.zip_with("iw", "dw", lambda a, b: form(a) == form(b)), lambda x: x)
+    same = (F.col("size") == F.col("dsize")) & (equal(canonical) | equal(plain))
+    # a name that only one side shows as one is the same word on both
+    slots = F.filter(F.zip_with("iw", "dw", lambda a, b: F.struct(a.alias("i"), F.when(plain(a) == b, a).otherwise(b).alias("d"))), lambda s: F.startswith(s["i"], F.lit(_MARK)))
     hit = hit.select("row", "doc_id", "item", "item_id", "item_words", "size", F.when(same, F.col("ipos")).alias("ipos"), (F.col("at") - F.col("ipos")).alias("diag"), F.when(same, slots).alias("slots"))
 
     pair = ["row", "doc_id", "item", "item_id", "item_words", "size"]

@@ -85,3 +85,13 @@ def test_query_against_brute_force(spark):
                 want.add((doc, i))
     got = {(r.doc_id, r.item_id) for r in queries.op2_decontamination(spark, "/root/testdata/sf0.01").collect()}
     assert got == want and len(got) > 5
+
+
+def test_copies_without_the_capitals(spark):
+    """A name in every 8 words: nothing is found unless names are also compared as words."""
+    item = "When Anna met Boris near Paris with Clara and Dmitri the old friends asked Emma whether Felix knew how Greta lost."
+    texts = [item, item.lower(), item.upper(), item.replace(" Boris", "\nBoris").replace(" Dmitri", "  Dmitri").replace(" Felix", "\nFelix"), item.title(),
+             item.replace("Anna", "Olga").replace("Boris", "Peter"), "when anna met someone near a town with other people and then went away"]
+    for a, b in ((item, texts), (item.lower(), texts[:5])):
+        got = contaminated(docs_frame(spark, enumerate(b)), "doc_id", "text", items_frame(spark, [a]), "item_id", "text").collect()
+        assert {r.doc_id: r.changed for r in got} == {k: k == 5 for k in range(len(b)) if k != 6}
