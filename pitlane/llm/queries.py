@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pitlane.llm import decontaminate, jaccard_join, license_scan, line_dedup, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
+from pitlane.llm import decontaminate, jaccard_join, license_scan, line_dedup, merkle, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import code_for_workers, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,74 @@ def op10_mixing(spark, sf_dir):
     return mixing.schedule(realised, "doc_id", "source")
 
 
+@_query
+def op13_merkle_manifest(spark, sf_dir):
+    """Leaf, proof and roots of every document, and whether its row as found now still leads to the root."""
+    docs = _table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    return merkle.manifest_digest(merkle.manifest(docs, "doc_id", "lang", fields, {"n_chars": F.col("n_chars") + 1}, changed))
+
+
+ORACLES["op13_merkle_manifest"] = """
+WITH RECURSIVE crc_row(i, c, bit) AS (
+    SELECT i, i, 0 FROM range(256) r(i)
+    UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, bit + 1 FROM crc_row WHERE bit < 8
+), crc_table AS (
+    SELECT list(c ORDER BY i) AS t FROM crc_row WHERE bit = 8
+), base AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS g,
+           coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+           n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail,
+           xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+               lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS crc
+    FROM documents, crc_table
+), hashed AS (
+    SELECT doc_id, g, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+           CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS again
+    FROM base
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed
+), tree(level, g, pos, h) AS (
+    SELECT 0, g, pos, leaf FROM leaves
+    UNION ALL
+    SELECT level + 1, g, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM tree) WHERE n > 1 GROUP BY level, g, pos // 2
+), tops AS (
+    SELECT g, max(level) AS high, max_by(h, level) AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos FROM tree GROUP BY g
+), upper(level, pos, h) AS (
+    SELECT 0, pos, subroot FROM tops
+    UNION ALL
+    SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER () AS n FROM upper) WHERE n > 1 GROUP BY level, pos // 2
+), crown AS (
+    SELECT max(level) AS high, max_by(h, level) AS root FROM upper
+), steps AS (
+    SELECT l.g, l.pos, t.level, t.h, t.pos % 2 = 0 AS is_left
+    FROM leaves l JOIN tops o USING (g) JOIN tree t ON t.g = l.g AND t.level < o.high AND t.pos // 2 = l.pos >> (t.level + 1) AND t.pos <> l.pos >> t.level
+    UNION ALL
+    SELECT l.g, l.pos, 100 + u.level, u.h, u.pos % 2 = 0
+    FROM leaves l JOIN tops o USING (g) JOIN upper u ON u.pos // 2 = o.pos >> (u.level + 1) AND u.pos <> o.pos >> u.level JOIN crown c ON u.level < c.high
+), walk AS (
+    SELECT l.g, l.pos, v.level FROM leaves l JOIN tops o USING (g), range(100) v(level) WHERE v.level < o.high
+    UNION ALL
+    SELECT l.g, l.pos, 100 + v.level FROM leaves l, crown c, range(100) v(level) WHERE v.level < c.high
+), proofs AS (
+    SELECT w.g, w.pos, coalesce(string_agg(s.h, '' ORDER BY w.level), '') AS proof,
+           list({'l': CASE WHEN s.is_left THEN s.h ELSE '' END, 'r': CASE WHEN s.is_left THEN '' ELSE coalesce(s.h, '') END} ORDER BY w.level) AS path
+    FROM walk w LEFT JOIN steps s ON s.g = w.g AND s.pos = w.pos AND s.level = w.level GROUP BY w.g, w.pos
+), folded AS (
+    SELECT l.doc_id, l.leaf, o.subroot, c.root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+           list_reduce(list_prepend({'l': coalesce(l.again, l.leaf), 'r': ''}, coalesce(p.path, [])),
+               lambda x, s: {'l': sha256(s['l'] || x['l'] || s['r']), 'r': ''})['l'] AS folded_root
+    FROM leaves l JOIN tops o USING (g) LEFT JOIN proofs p ON p.g = l.g AND p.pos = l.pos, crown c
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
