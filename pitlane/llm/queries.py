@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pitlane.llm import decontaminate, jaccard_join, license_scan, line_dedup, merkle, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
+from pitlane.llm import decontaminate, jaccard_join, lexical_search, license_scan, line_dedup, merkle, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import code_for_workers, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,40 @@ def op10_mixing(spark, sf_dir):
     return mixing.schedule(realised, "doc_id", "source")
 
 
+@_query
+def op12_lexical_search(spark, sf_dir):
+    """The 10 documents of highest lexical score for every benchmark item."""
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return lexical_search.ranked_search(docs, "doc_id", "text", items, "item_id", "text", 10).withColumnRenamed("id", "doc_id")
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH doc_terms AS (
+    SELECT row_number() OVER () AS doc_row, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), held AS (
+    SELECT doc_row, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM doc_terms WHERE len(terms) > 0
+), totals AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM held
+), item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), tf AS (
+    SELECT doc_row, term, count(*) AS tf FROM (SELECT doc_row, unnest(terms) AS term FROM held) SEMI JOIN item_terms USING (term) GROUP BY doc_row, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term
+), scored AS (
+    SELECT i.item_id, h.doc_row, h.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) AS BIGINT) AS score
+    FROM item_terms i JOIN tf USING (term) JOIN weights USING (term) JOIN held h USING (doc_row), totals
+    GROUP BY ALL
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @_query
 def op13_merkle_manifest(spark, sf_dir):
     """Leaf, proof and roots of every document, and whether its row as found now still leads to the root."""
