@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pitlane.llm import decontaminate, jaccard_join, lexical_search, license_scan, line_dedup, merkle, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
+from pitlane.llm import attention_lm, decontaminate, jaccard_join, lexical_search, license_scan, line_dedup, merkle, mixing, secret_scan, token_counts, topk_search, toxicity, url_filter
 from pitlane.llm.shared import code_for_workers, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,19 @@ def op10_mixing(spark, sf_dir):
     return mixing.schedule(realised, "doc_id", "source")
 
 
+@_query
+def op11_attention_lm(spark, sf_dir):
+    """log10 probability of every document, by word counts and by the attention model, both learnt from six sevenths of them."""
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    fold = lambda doc: F.coalesce(F.crc32(doc.cast("string")) % 7 == 2, F.lit(False))
+    model = attention_lm.fit_attention(docs, "text", ~fold(F.col("doc_id")), public_tokenizers.path("byte_bpe_50k.json"))
+    scored = attention_lm.score_attention(docs, "doc_id", "text", model)
+    return scored.select(F.col("id").alias("doc_id"), fold(F.col("id")).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 @_query
 def op12_lexical_search(spark, sf_dir):
     """The 10 documents of highest lexical score for every benchmark item."""
