@@ -88,13 +88,18 @@ def rows_per_date(df: DataFrame, date: str, out: str = "n_rows") -> DataFrame:
 
 def group_median_mode(df: DataFrame, keys, median_cols: Sequence[str], mode_cols: Sequence[str]) -> DataFrame:
     """Exact median per column and the most frequent value (smallest on a
-    tie) per group, through the scale-safe `exact_quantiles` / `group_mode`."""
+    tie) per group; a NULL group is a group. The median columns are stacked as
+    (column, value) and ranked once, all modes come from one count each."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     out = df.select(*keys).distinct()
-    for c in median_cols:
-        out = out.join(exact_quantiles(df, keys, c, [0.5], [f"median_{c}"]), keys, "left")
+    if median_cols:
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(median_cols)]))
+        long = df.select(*keys, pairs.alias("_p")).select(*keys, "_p.*")
+        mid = exact_quantiles(long, [*keys, "_i"], "_x", [0.5], ["_m"])
+        wide = mid.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_m"))).alias(f"median_{c}") for i, c in enumerate(median_cols)])
+        out = null_safe_join(out, wide, keys, "left")
     for c in mode_cols:
-        out = out.join(group_mode(df, keys, c), keys, "left")
+        out = null_safe_join(out, group_mode(df, keys, c), keys, "left")
     return out
 
 

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions.scalars import hash_unit
-from pitlane.operators.positions import null_safe_join, row_positions
+from pitlane.operators.positions import coarse_key, null_safe_join, row_positions
 
 
 # --- imputation -------------------------------------------------------------
@@ -114,25 +114,49 @@ def fold_assign(df: DataFrame, key: str, k: int = 5, out: str = "fold") -> DataF
 
 def target_encode_oof(df: DataFrame, cat: str, target: str, fold: str = "fold", origin: str = "origin",
                       k: int = 5, out: str = "te") -> DataFrame:
-    """Out-of-fold median target encoding, no loop over folds.
+    """Out-of-fold median target encoding, no loop over folds, no copies of rows.
 
     Train row in fold f: median target of its category over train rows in the
     other folds; test rows: median over all train rows; unseen -> global train
-    median.  Each train row is copied to the k-1 folds it trains (`explode`),
-    one aggregate gives all k x category medians, one join attaches them."""
-    train = df.where(F.col(origin) == "train")
-    folds = F.array(*[F.lit(i) for i in range(k)])
-    copies = train.select(F.col(cat).alias("_c"), F.col(target).alias("_y"),
-                          F.explode(F.filter(folds, lambda x: x != F.col(fold))).alias("_f"))
-    from pitlane.operators.aggregate import exact_quantiles
-    fold_med = exact_quantiles(copies, ["_f", "_c"], "_y", [0.5], ["_med"])
-    full_med = exact_quantiles(train.select(F.col(cat).alias("_c2"), target), ["_c2"], target, [0.5], ["_full"])
-    glob = exact_quantiles(train, [], target, [0.5], ["_glob"])
-    j = df.join(fold_med, (F.col(fold) == F.col("_f")) & (F.col(origin) == "train") & F.col(cat).eqNullSafe(F.col("_c")), "left")
-    j = j.join(full_med, F.col(cat).eqNullSafe(F.col("_c2")), "left")
-    j = j.crossJoin(F.broadcast(glob))
-    enc = F.when(F.col(origin) == "train", F.col("_med")).otherwise(F.col("_full"))
-    return j.withColumn(out, F.coalesce(enc, F.col("_glob"))).drop("_f", "_c", "_c2", "_med", "_full", "_glob")
+    median. Rows are counted once per (category, value) with one count for each
+    fold. Over a category's values in order the counts of "all folds but f" are the
+    total's less f's own, so running totals of the counts give the place of every
+    value in all k + 1 orders at once, and with them the k + 1 medians."""
+    y, at = F.col(target).cast("double"), F.col(fold)
+    train = df.where((F.col(origin) == "train") & y.isNotNull() & ~F.isnan(y))
+    views = [F.count(F.lit(1)) - F.count_if(at.eqNullSafe(F.lit(f))) for f in range(k)] + [F.count(F.lit(1))]
+    counts = train.groupBy(F.col(cat).alias("_c"), y.alias("_y")).agg(F.array(*views).alias("_n"))
+    by_cat = _view_medians(counts, ["_c"], k + 1)
+    glob = _view_medians(counts.groupBy("_y").agg(F.array(*[F.sum(F.col("_n")[i]) for i in range(k + 1)]).alias("_n")), [], k + 1)
+    j = df.join(by_cat.withColumnRenamed("_med", "_cat"), F.col(cat).eqNullSafe(F.col("_c")), "left")
+    j = j.crossJoin(F.broadcast(glob.select(F.col("_med")[k].alias("_glob"))))  # one row
+    inside = at.isNotNull() & (at >= 0) & (at < k)
+    enc = F.when((F.col(origin) == "train") & inside, F.get("_cat", at.cast("int"))).when(F.col(origin) != "train", F.get("_cat", F.lit(k)))
+    return j.withColumn(out, F.coalesce(enc, F.col("_glob"))).select(*df.columns, out)
+
+
+def _view_medians(counts: DataFrame, group: list[str], n: int) -> DataFrame:
+    """(group, _med): medians of `_y` under each of n counts in `_n`. Values are cut into ordered
+    buckets, totals run over a group's buckets and inside a bucket, so no group is one task."""
+    rows = counts.withColumn("_k", coarse_key(F.col("_y"), counts.schema["_y"].dataType))
+    keyed = rows.groupBy(*group, "_k").agg(*[F.sum(F.col("_n")[i]).alias(f"_n{i}") for i in range(n)])
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    run = whole.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    before = keyed.select(*group, "_k", F.array(*[F.coalesce(F.sum(f"_n{i}").over(run), F.lit(0)) for i in range(n)]).alias("_b"),
+                          F.array(*[F.sum(f"_n{i}").over(whole) for i in range(n)]).alias("_t"))
+    j = null_safe_join(rows, before, [*group, "_k"])
+    inside = Window.partitionBy(*group, "_k").orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
+    j = j.select(*group, "_y", "_n", "_t", *[(F.col("_b")[i] + F.coalesce(F.sum(F.col("_n")[i]).over(inside), F.lit(0))).alias(f"_p{i}") for i in range(n)])
+
+    def middle(i):
+        """The mean of the values at the two middle places."""
+        first, last = F.col(f"_p{i}"), F.col(f"_p{i}") + F.col("_n")[i] - 1
+        holds = lambda place: (F.col("_n")[i] > 0) & (first <= place) & (place <= last)
+        total = F.col("_t")[i]
+        low, high = F.floor((total - 1) / 2), F.floor(total / 2)
+        return (F.max(F.when(holds(low), F.col("_y"))) + F.max(F.when(holds(high), F.col("_y")))) / 2
+
+    return j.groupBy(*group).agg(F.array(*[middle(i) for i in range(n)]).alias("_med"))
 
 
 # --- scaling ----------------------------------------------------------------
@@ -148,16 +172,20 @@ def standardise(df: DataFrame, cols: Sequence[str], fit_on: DataFrame, suffix: s
 
 
 def robust_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame, suffix: str = "_rs") -> DataFrame:
-    """(x - median) / IQR with exact linear-interpolated quartiles (IQR 0 -> 1)."""
+    """(x - median) / IQR with exact linear-interpolated quartiles (IQR 0 -> 1).
+
+    The columns are stacked as (column, value): one ranking and one row of quartiles for all."""
     from pitlane.operators.aggregate import exact_quantiles
-    j = df
-    for c in cols:
-        q = exact_quantiles(fit_on, [], c, [0.25, 0.5, 0.75], [f"_q1_{c}", f"_q2_{c}", f"_q3_{c}"])
-        j = j.crossJoin(F.broadcast(q))
-        iqr = F.col(f"_q3_{c}") - F.col(f"_q1_{c}")
-        scale = F.when(iqr != 0, iqr).otherwise(F.lit(1.0))
-        j = j.withColumn(f"{c}{suffix}", (F.col(c) - F.col(f"_q2_{c}")) / scale).drop(f"_q1_{c}", f"_q2_{c}", f"_q3_{c}")
-    return j
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(cols)]))
+    q = exact_quantiles(fit_on.select(pairs.alias("_p")).select("_p.*"), ["_i"], "_x", [0.25, 0.5, 0.75], ["_q1", "_q2", "_q3"])
+    one = q.agg(F.map_from_entries(F.collect_list(F.struct("_i", F.struct("_q1", "_q2", "_q3")))).alias("_q"))  # a row for each column
+    j = df.crossJoin(F.broadcast(one))
+    out = []
+    for i, c in enumerate(cols):
+        at = F.col("_q")[i]
+        iqr = at["_q3"] - at["_q1"]
+        out.append(((F.col(c) - at["_q2"]) / F.when(iqr != 0, iqr).otherwise(F.lit(1.0))).alias(f"{c}{suffix}"))
+    return j.select(*df.columns, *out)
 
 
 def skewed_columns(df: DataFrame, cols: Sequence[str], limit: float = 0.75) -> list[str]:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,7 +48,7 @@ def left_attach_default(df: DataFrame, other: DataFrame, on, defaults: dict) ->
 
 
 def or_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: Sequence[str],
-                out_cols: Sequence[str] | None = None) -> DataFrame:
+                out_cols: Sequence[str] | None = None, where: Column | None = None) -> DataFrame:
     """`SELECT DISTINCT ... ON left.key = right.k1 OR left.key = right.k2`
     without a nested-loop join.
 
@@ -57,7 +57,12 @@ def or_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: Se
     DISTINCT is applied to the two (small) inputs instead of the (large) join
     output: with duplicate-free inputs every (left row, right row) pair occurs
     once, so the output is already distinct if it keeps the left key and all
-    right keys; otherwise it is made distinct."""
+    right keys; otherwise it is made distinct.
+
+    `where` picks right rows before the join (the daily job asks for one date):
+    without it the output is every pair of all dates, which grows as the left
+    rows of a key times its right rows."""
+    right = right if where is None else right.where(where)
     lcols = [c for c in (out_cols or left.columns) if c in left.columns]
     if left_key not in lcols:
         lcols.append(left_key)

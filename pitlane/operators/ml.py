@@ -1,20 +1,20 @@
-"""Model jobs on pyspark.ml.
+"""Model jobs on pyspark.ml: trees, the
+pipeline form of ridge, out-of-fold predictions of any model and batch scoring.
 
-Fitting runs on the executors (treeAggregate of gradients / histograms);
-the driver only holds the fitted coefficients or trees.  Coefficients are not
-promised to equal scikit-learn's (liblinear also penalises the intercept;
-Spark's regParam is alpha / n for ridge), so these jobs carry row-level and
-better-than-baseline checks, while the metric operators carry exact checks."""
+Fitting runs on the executors (treeAggregate of gradients / histograms); the
+driver only holds the fitted coefficients or trees. Linear models of folds,
+dates and searches come from Gram sums (operators.gram), logistic ones from
+Newton steps (operators.logit)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,21 +46,6 @@ def _cast_double(df, cols):
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def fit_win(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0, balanced: bool = True) -> PipelineModel:
-    """K1: standardised logistic regression with balanced class weights and
-    scikit-learn's L2 strength C.  scikit-learn minimises
-    ||b||^2 / 2 + C * sum(w_i loss_i); Spark minimises sum(w_i loss_i) / sum(w)
-    + regParam ||b||^2 / 2, so regParam = 1 / (C * sum(w)) (sum(w) = n for
-    balanced weights).  liblinear also penalises the intercept; Spark does not."""
-    d = _cast_double(train, list(features) + [label])
-    if balanced:
-        d = balanced_weights(d, label)
-    sw = d.agg(F.sum("_w") if balanced else F.count(F.lit(1))).first()[0] or 1.0
-    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (C * sw), maxIter=100,
-                            standardization=False, weightCol="_w" if balanced else None)
-    return Pipeline(stages=_prep(features) + [lr]).fit(d)
-
-
 def fit_ridge(train: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0) -> PipelineModel:
     """K2: mean impute, standardise, ridge with scikit-learn's alpha.
 
@@ -86,45 +71,6 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str, max_iter: int
     return Pipeline(stages=_prep(features, scale=False) + [gbt]).fit(d)
 
 
-def fit_lasso_enet(train: DataFrame, features: Sequence[str], label: str, reg: float = 0.0005,
-                   l1_ratio: float = 1.0) -> PipelineModel:
-    """K4: lasso (l1_ratio 1) or elastic net (e.g. 0.9) on scaled features, with
-    scikit-learn's alpha `reg`.
-
-    Spark divides both penalties by std(y), as it standardises the label; the
-    L1 part then acts as asked, the L2 part std(y) times too weakly, which the
-    passed values make up for."""
-    d = _cast_double(train, list(features) + [label])
-    sd = d.agg(F.stddev_pop(label)).first()[0] or 1.0
-    l1, l2 = reg * l1_ratio, reg * (1 - l1_ratio) * sd
-    lr = LinearRegression(featuresCol="features", labelCol=label, regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0,
-                          standardization=False, maxIter=200)
-    return Pipeline(stages=_prep(features) + [lr]).fit(d)
-
-
-def fit_logit_inference(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """K5: unpenalised logit with standard errors, p-values and McFadden's
-    pseudo R^2 = 1 - LL(model) / LL(intercept only).  The log-likelihoods are
-    aggregates over the predictions; only the coefficient table (one row per
-    feature) is built on the driver."""
-    d = _cast_double(df, list(features) + [label]).na.drop(subset=list(features) + [label])
-    asm = VectorAssembler(inputCols=list(features), outputCol="features")
-    glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label, featuresCol="features", maxIter=50)
-    m = glm.fit(asm.transform(d))
-    s = m.summary
-    names = list(features) + ["intercept"]
-    coefs = list(m.coefficients) + [m.intercept]
-    spark = df.sparkSession
-    y = F.col(label)
-    p = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col("prediction")))  # a certain prediction stays in the likelihood
-    ll = asm.transform(d).transform(m.transform).agg(
-        F.sum(y * F.log(p) + (1 - y) * F.log(1 - p)).alias("ll"), F.avg(y).alias("ybar"), F.count(F.lit(1)).alias("n"))
-    ll0 = ll.select("ll", (F.col("n") * (F.col("ybar") * F.log("ybar") + (1 - F.col("ybar")) * F.log(1 - F.col("ybar")))).alias("ll0"))
-    rows = [(n, float(c), float(se), float(pv)) for n, c, se, pv in zip(names, coefs, s.coefficientStandardErrors, s.pValues)]
-    tab = spark.createDataFrame(rows, "term string, coef double, std_err double, p_value double")
-    return tab.crossJoin(ll0.select((1 - F.col("ll") / F.col("ll0")).alias("pseudo_r2")))
-
-
 def fit_random_forest(train: DataFrame, features: Sequence[str], label: str, classifier: bool = True,
                       trees: int = 100, depth: int = 5, balanced: bool = False, seed: int = 42) -> PipelineModel:
     """K6: random forest classifier (optionally class-weighted) or regressor."""
@@ -132,8 +78,9 @@ def fit_random_forest(train: DataFrame, features: Sequence[str], label: str, cla
     if balanced:
         d = balanced_weights(d, label)
     kw = dict(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    est = (RandomForestClassifier(weightCol="_w" if balanced else None, **kw) if classifier
-           else RandomForestRegressor(**kw))
+    if balanced:
+        kw["weightCol"] = "_w"
+    est = RandomForestClassifier(**kw) if classifier else RandomForestRegressor(**kw)
     return Pipeline(stages=_prep(features, scale=False) + [est]).fit(d)
 
 
@@ -164,30 +111,6 @@ def oof_predict(df: DataFrame, key: str, features: Sequence[str], label: str, fi
         tp.groupBy(key).agg(F.avg("oof").alias("oof")).withColumn(origin, F.lit("test")))
 
 
-def stack_ridge(oofs: dict[str, DataFrame], base: DataFrame, key: str, label: str, alpha: float = 1.0) -> DataFrame:
-    """K8: ridge on the OOF columns of several models, joined on the key."""
-    j = base.select(key, label, "origin")
-    for name, o in oofs.items():
-        j = j.join(o.select(key, F.col("oof").alias(name)), key)
-    m = fit_ridge(j.where(F.col("origin") == "train"), list(oofs), label, alpha)
-    return m.transform(j).select(key, "origin", F.col("prediction").alias("stacked"))
-
-
-def tune(train: DataFrame, features: Sequence[str], label: str, fold: str = "fold", regs=(0.001, 0.01, 0.1),
-         parallelism: int = 2):
-    """Grid search on frozen folds (CrossValidator with foldCol)."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    d = _cast_double(train, list(features) + [label]).withColumn(fold, F.col(fold).cast("int"))
-    lr = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=0.0)
-    pipe = Pipeline(stages=_prep(features) + [lr])
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(regs)).build()
-    k = d.agg(F.max(fold)).first()[0] + 1
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, foldCol=fold, numFolds=k, parallelism=parallelism,
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"))
-    return cv.fit(d)
-
-
 def score_batch(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Score every row of a batch (e.g. all games of a date) in one job."""
     out = model.transform(df)

@@ -106,7 +106,7 @@ def group_report(df: DataFrame, group: str, label: str, top_label: str, name: st
     winner is a per-group aggregate (partial, map-side) joined back, not a
     window over the whole group."""
     win = df.groupBy(group).agg(F.max(F.when(F.col(label) == top_label, F.col(name))).alias(out))
-    return df.join(win, group, "left")
+    return null_safe_join(df, win, [group], "left")
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -130,18 +130,14 @@ def q_m2(T):
 
 @register("miss_analysis", f"""WITH {_TEAM_ROWS_SQL},
 f6 AS (SELECT game_id, team_id, CAST(game_date_et - LAG(game_date_et) OVER (PARTITION BY team_id ORDER BY game_date_et, game_id) - 1 AS INTEGER) AS rest_days FROM team_rows),
-adv AS (SELECT s.game_id, s.team_id,
-  AVG(s.pace_est) OVER w AS rolling_pace_10, AVG(s.ortg) OVER w AS rolling_ortg_10
-  FROM fx_team_game_stats s JOIN fx_games g ON s.game_id = g.game_id
-  WINDOW w AS (PARTITION BY s.team_id ORDER BY g.game_date_et, s.game_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
-p AS (SELECT * FROM {_PH} WHERE actual_home_score IS NOT NULL)
-SELECT p.game_id, abs((p.pred_home_score + p.pred_away_score) - (p.actual_home_score + p.actual_away_score)) AS total_error,
-  abs((p.pred_home_score + p.pred_away_score) - (p.actual_home_score + p.actual_away_score)) > 15 AS is_big_miss,
-  hf.rest_days - af.rest_days AS rest_diff, hf.rest_days AS home_rest, hadv.rolling_pace_10, hadv.rolling_ortg_10
-FROM p JOIN fx_games g ON p.game_id = g.game_id
-LEFT JOIN f6 hf ON hf.game_id = g.game_id AND hf.team_id = g.home_team_id
-LEFT JOIN f6 af ON af.game_id = g.game_id AND af.team_id = g.away_team_id
-LEFT JOIN adv hadv ON hadv.game_id = g.game_id AND hadv.team_id = g.home_team_id""")
+pace AS (SELECT game_id, team_id, avg(pace_est) OVER ten AS pace, avg(ortg) OVER ten AS ortg FROM fx_team_game_stats JOIN (SELECT game_id, game_date_et FROM fx_games) USING (game_id)
+  WINDOW ten AS (PARTITION BY team_id ORDER BY game_date_et, game_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+side_rows AS (SELECT game_id, team_id, rest_days, pace, ortg FROM f6 FULL JOIN pace USING (game_id, team_id)),
+sides AS (SELECT g.game_id, max(rest_days) FILTER (WHERE team_id = home_team_id) AS home_rest, max(rest_days) FILTER (WHERE team_id = away_team_id) AS away_rest,
+    max(pace) FILTER (WHERE team_id = home_team_id) AS rolling_pace_10, max(ortg) FILTER (WHERE team_id = home_team_id) AS rolling_ortg_10
+  FROM (SELECT game_id, home_team_id, away_team_id FROM fx_games) g LEFT JOIN side_rows USING (game_id) GROUP BY g.game_id),
+missed AS (SELECT game_id, abs((pred_home_score + pred_away_score) - (actual_home_score + actual_away_score)) AS total_error FROM {_PH} WHERE actual_home_score IS NOT NULL)
+SELECT game_id, total_error, total_error > 15 AS is_big_miss, home_rest - away_rest AS rest_diff, home_rest, rolling_pace_10, rolling_ortg_10 FROM missed JOIN sides USING (game_id)""")
 def q_m4(T):
     """M4: graded predictions with match context and the big-miss flag (> 15)."""
     games = T.fx_games

@@ -99,6 +99,8 @@ def duckdb_with(body: str) -> str:
         return body
     ctes = ",\n".join(f"{n} AS (\n{_REF.sub(lambda m: m.group(1), FIXTURE_SQL[n])}\n)" for n in order)
     body = body.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

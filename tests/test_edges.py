@@ -491,3 +491,39 @@ def test_update_from_rejects_duplicate_source_keys(spark):
         U.update_from(t, s, "k", {"v": "v"}).collect()
     ok = spark.createDataFrame([(1, 20), (2, 30)], "k int, v int")
     assert rows(U.update_from(t, ok, "k", {"v": "v"})) == [(1, 20)]   # no row added
+
+
+def test_null_groups_keep_median_mode_and_winner(spark):
+    from pitlane.operators.aggregate import group_median_mode
+    from pitlane.operators.ranking import group_report
+    df = spark.createDataFrame([(None, 1.0, "a"), (None, 3.0, "a"), ("g", None, None), ("g", 5.0, "b"), ("h", None, None)], "k string, x double, m string")
+    got = {r.k: (r.median_x, r.mode_m) for r in group_median_mode(df, "k", ["x"], ["m"]).collect()}
+    assert got == {None: (2.0, "a"), "g": (5.0, "b"), "h": (None, None)}
+    rep = group_report(spark.createDataFrame([(None, "won", "A"), (None, "lost", "B"), (1, "lost", "C")], "y int, l string, n string"), "y", "l", "won", "n")
+    assert sorted((str(r.y), r.n, r.champion) for r in rep.collect()) == [("1", "C", None), ("None", "A", "A"), ("None", "B", "A")]
+
+
+def test_target_encoding_by_subtraction(spark):
+    import random
+    from statistics import median
+    from pitlane.operators.features import target_encode_oof
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "b", None, "rare"]) if i % 40 else f"only{i}", rng.choice([None, 1e9, -3.5, *range(6)]), rng.choice([0, 1, 2, None]), rng.choice(["train", "train", "test"])) for i in range(300)]
+    rows = [(i, c, None if y is None else float(y), f, o) for i, c, y, f, o in rows]
+    df = spark.createDataFrame(rows, "id int, cat string, y double, fold int, origin string")
+    got = {r.id: r.te for r in target_encode_oof(df, "cat", "y", k=3).collect()}
+    train = [r for r in rows if r[4] == "train" and r[2] is not None]
+    whole = median(r[2] for r in train)
+    for i, c, _, f, o in rows:
+        own = [r[2] for r in train if r[1] == c and (o == "test" or r[3] != f)]
+        want = whole if (o == "train" and f is None) or not own else median(own)
+        assert got[i] == want, (i, c, f, o)
+    assert target_encode_oof(df.limit(0), "cat", "y", k=3).count() == 0
+
+
+def test_or_key_join_of_one_date(spark):
+    from pitlane.operators.joins import or_key_join
+    left = spark.createDataFrame([(1, "p"), (2, "q"), (1, "p")], "t int, n string")
+    right = spark.createDataFrame([(9, 1, 2, "d1"), (8, 2, 1, "d2"), (7, 1, 1, "d1")], "g int, h int, a int, d string")
+    got = or_key_join(left, right, "t", ["h", "a"], ["n", "g"], where=F.col("d") == "d1")
+    assert sorted(tuple(r) for r in got.collect()) == [("p", 7), ("p", 9), ("q", 9)]

@@ -10,8 +10,8 @@ from pitlane.plans.registry import all_oracles, all_queries
 
 QUERIES = all_queries()  # without those of the optional subpackage, which has its own tests
 ORACLES = all_oracles()
-ML = {"fit_win", "fit_ridge", "fit_gbt", "fit_lasso_enet", "fit_logit_inference", "fit_random_forest", "oof_predict",
-      "stack_ridge", "tune", "score_batch", "player_projection", "backtest"}
+ML = {"fit_gbt", "fit_random_forest", "fit_random_forest_plain", "fit_random_forest_price",
+      "player_projection"}
 
 
 @pytest.fixture(scope="module")
