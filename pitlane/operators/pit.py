@@ -7,9 +7,9 @@ Scale notes shared by every operator here:
   As-of lookups therefore first reduce both sides to distinct
   (entity, time) keys -- bounded by the calendar, not by the row count --
   and join the answers back with an equi join (AQE splits a skewed side).
-* Per-row rolling frames use `trailing`: every row gets its exact position
-  within its entity, and the window runs per (entity, chunk of positions)
-  with the rows that frames reach back into copied into the next chunk.
+* Per-row rolling frames use `trailing`: an entity's rows are cut into chunks
+  by counts of ordered buckets, and the window runs per (entity, chunk) with
+  the rows that frames reach back into copied into the later chunk.
 * Every order is total: the match id is the last sort key (trap T7).
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions.scalars import norm_status
-from pitlane.operators.positions import coarse_key, null_safe_join, row_positions
+from pitlane.operators.positions import chunked, coarse_key, null_safe_join
 from pitlane.operators.reshape import match_to_team_rows
 
 
@@ -212,24 +212,20 @@ def trailing(df: DataFrame, entity: str | Sequence[str], order: Sequence[str],
     i.e. `fn(value) over (partition by entity order by order rows between start and end)`
     where fn is one of avg, sum, count, min, max, stddev_samp, stddev_pop.
 
-    Every row gets its exact position within its entity (`positions.row_positions`)
-    and belongs to the chunk of CHUNK_ROWS positions it lies in; the last rows of a
-    chunk that frames of the next one reach are copied there.  The window runs per
-    (entity, chunk) on the columns' own types, and the copies are dropped: a busy
-    entity is spread over its chunks, a NULL entity is an entity."""
+    Buckets of the first order column are gathered to chunks of about CHUNK_ROWS rows
+    (`positions.chunked`); buckets at a chunk's end that frames of a later one reach are
+    copied there.  The window runs per (entity, chunk) on the columns' own types, and
+    the copies are dropped: a busy entity is spread over its chunks, a NULL entity is
+    an entity."""
     ent, order = _cols(entity), list(order)
     fns = {"avg": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
            "stddev_samp": F.stddev_samp, "stddev_pop": F.stddev_pop}
     reach = max(-spec[2] for spec in aggs.values())
-    size = max(CHUNK_ROWS, reach)
-    rows = row_positions(df, ent, order, "_pos")
-    chunk = F.floor(F.col("_pos") / size)
-    tail = F.col("_pos") % size >= size - reach
-    rows = rows.withColumn("_chunk", F.explode(F.when(tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))))
-    w = Window.partitionBy(*ent, "_chunk").orderBy("_pos")
+    rows = chunked(df, ent, order[0], max(CHUNK_ROWS, reach), reach, "_chunk", "_is_own")
+    w = Window.partitionBy(*ent, "_chunk").orderBy(*order)
     out = rows.select("*", *[fns[fn](F.col(v) if isinstance(v, str) else v).over(w.rowsBetween(s, e)).alias(name)
                              for name, (fn, v, s, e) in aggs.items()])
-    return out.where(chunk == F.col("_chunk")).select(*df.columns, *aggs)
+    return out.where("_is_own").select(*df.columns, *aggs)
 
 
 def rolling_rows(df: DataFrame, entity, order: Sequence[str], metrics: dict[str, str], n: int,

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 FLOAT_BUCKETS = 1 << 18
 # Low bits of an integer that share a bucket.
 INT_BITS = 12
+# Days that share a bucket.
+DATE_DAYS = 16
 # Characters of a string that name its bucket.
 STRING_CHARS = 4
 
@@ -36,7 +38,9 @@ def coarse_key(c: Column, dtype: T.DataType) -> Column:
         x = c.cast("double")
         scaled = F.signum(x) * F.floor(F.log1p(F.abs(x)) * FLOAT_BUCKETS)
         return F.when(F.isnan(x), F.lit((1 << 63) - 1)).otherwise(scaled.cast("long"))  # in the bucket of infinity, after it
-    return c  # dates, booleans: few distinct values
+    if isinstance(dtype, T.DateType):
+        return F.floor(F.unix_date(c) / DATE_DAYS)
+    return c  # booleans: two values
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -81,3 +85,24 @@ def row_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], out
     j = null_safe_join(rows, per_key, [*group, "_k"])
     inside = F.row_number().over(Window.partitionBy(*group, "_k").orderBy(*order))
     return j.withColumn(out, F.col("_kb") + inside - 1).drop("_k", "_kb")
+
+
+def chunked(df: DataFrame, group: Sequence[str], order: str, size: int, reach: int, out: str, own: str) -> DataFrame:
+    """Adds `out`, the chunk of a group that a row is in, and copies of the rows that later chunks reach back to.
+
+    The coarse key of `order` cuts a group into ordered buckets; a running total over the
+    buckets' counts puts buckets that begin in the same `size` positions into one chunk. A
+    bucket that ends less than `reach` rows before a later chunk begins is copied into it;
+    `own` is false on copies. A group of few rows is one chunk without copies. What is joined
+    to the rows is a count for each bucket, and the rows then move once, by (group, chunk)."""
+    group = list(group)
+    rows = df.withColumn("_k", coarse_key(F.col(order), df.schema[order].dataType))
+    whole = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy("_k")
+    b = rows.groupBy(*group, "_k").agg(F.count(F.lit(1)).alias("_kn")).withColumn("_kb", _running("_kn", whole))
+    b = b.withColumn("_c", F.floor(F.col("_kb") / size))
+    later = F.collect_list(F.struct("_kb", "_c")).over(whole.rowsBetween(1, reach)) if reach else F.array().cast("array<struct<_kb:bigint,_c:bigint>>")
+    near = F.filter(later, lambda x: (x["_kb"] < F.col("_kb") + F.col("_kn") + reach) & (x["_c"] != F.col("_c")))
+    chunks = F.array_distinct(F.concat(F.array("_c"), F.transform(near, lambda x: x["_c"])))
+    j = null_safe_join(rows, b.select(*group, "_k", F.col("_c").alias("_own"), chunks.alias("_in")), [*group, "_k"])
+    j = j.withColumn(out, F.explode("_in"))
+    return j.withColumn(own, F.col(out) == F.col("_own")).drop("_k", "_own", "_in")
