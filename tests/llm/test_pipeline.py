@@ -45,6 +45,12 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert 0 < len(after) < docs.count()
 
 
+def test_most_documents_pass_toxicity(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    left = corpus_pipeline.drop_toxic(spark, docs, "/root/testdata/sf0.01")
+    assert 0.8 * docs.count() < left.count() < docs.count()
+
+
 def test_edges(spark, tmp_path):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(1, text), (1, text), (2, text + " more"), (3, None), (4, ""), (None, text), (None, None), (5, "short"), (6, ITEMS[0])]

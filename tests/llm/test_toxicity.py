@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -6,7 +7,7 @@ import pytest
 from edge import docs_frame, odd_texts
 from pyspark.sql import functions as F
 
-from pitlane.llm import queries
+from pitlane.llm import queries, toxicity
 from pitlane.llm.toxicity import fit_toxicity, nnpu_fit, score_toxicity
 
 
@@ -84,3 +85,21 @@ def test_labels_of_other_folds_are_not_read(spark, toy):
     a = fit_toxicity(docs, labels, "doc_id", "text", "toxic", usable)
     b = fit_toxicity(docs, labels.withColumn("toxic", F.when(F.col("doc_id") % 3 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic"))), "doc_id", "text", "toxic", usable)
     assert np.array_equal(a.features, b.features) and np.allclose(a.weights, b.weights) and a.prior == b.prior
+
+
+def test_scores_are_tied_to_the_prior(spark):
+    """With all labels and with three quarters of them, a text without features is below the prior and few documents are flagged."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    for usable in (None, lambda doc: F.crc32(doc.cast("string")) % 4 != 2):
+        model = toxicity.fit_toxicity(docs, labels, "doc_id", "text", "toxic", usable)
+        empty = model.score(np.zeros(0, np.uint8), np.zeros(2, np.int64))[0]
+        assert len(model.features) and empty < model.prior < toxicity.TOXIC_FROM
+        scored = toxicity.score_toxicity(docs, "doc_id", "text", model).withColumnRenamed("id", "doc_id").join(labels, "doc_id", "left")
+        flagged = {r.toxic: r.s for r in scored.groupBy("toxic").agg(F.avg((F.col("score") >= toxicity.TOXIC_FROM).cast("double")).alias("s")).collect()}
+        assert flagged[1] >= 0.6 and flagged[0] <= 0.05 and flagged[None] <= 0.2
+
+
+def test_tied_bias():
+    assert toxicity.tied_bias(-5.0, 0.1) == -5.0
+    assert 1 / (1 + math.exp(-toxicity.tied_bias(3.0, 0.1))) == pytest.approx(0.05)
