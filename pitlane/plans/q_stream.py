@@ -46,3 +46,23 @@ def q_stream_grade(T):
     grade_stream(T.spark, src, games.schema, hist, ckpt)
     games.where(c("game_date_et") >= cut).write.mode("append").parquet(src)
     return grade_stream(T.spark, src, games.schema, hist, ckpt)
+
+
+from pitlane.streaming.manifest import manifest_stream  # noqa: E402
+
+
+@register("stream_manifest_merge", """SELECT * FROM fx_player_logs
+QUALIFY row_number() OVER (PARTITION BY game_date, game_id, player_id, line_no
+  ORDER BY min_raw, pts, reb, ast) = 1""")
+def q_stream_manifest(T):
+    """Player logs land in two drops by date; each availableNow run rewrites only
+    the files whose dates the drop can touch and commits one manifest."""
+    logs = T.fx_player_logs
+    base = scratch_dir(T.spark, "manifest-stream")
+    src, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/_checkpoint"
+    cut = F.lit("1997-01-01").cast("date")
+    keys = ["game_date", "game_id", "player_id", "line_no"]
+    logs.where(c("game_date") < cut).write.mode("append").parquet(src)
+    manifest_stream(T.spark, src, logs.schema, table, keys, ckpt)
+    logs.where(c("game_date") >= cut).write.mode("append").parquet(src)
+    return manifest_stream(T.spark, src, logs.schema, table, keys, ckpt)
