@@ -8,13 +8,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.shared import stored
+from pitlane.llm.shared import forget, stored
 
 #: (verdict, host, path start). Fixed values of the registered query.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 #: The trees are fitted on at most so many labelled URLs, those of the smallest hash.
 TRAIN_ROWS = 20_000
 TREES, DEPTH, STEP = 12, 4, 0.3
+#: What the statistics of labelled URLs are counted by: the host's last part, the one before it, and the path's ending.
+KEYS = ("suffix", "name", "ending")
 #: Weight of the overall share in a suffix's share of blocked URLs.
 PRIOR_WEIGHT = 10.0
 
@@ -43,10 +45,17 @@ def rule_of(host: Column, path: Column, rules) -> tuple[Column, Column]:
 
 
 def _entropy(text: Column) -> Column:
-    chars = F.split(text, "")
+    """Entropy of a text's characters, from the lengths of the runs of equal ones once they are sorted."""
     n = F.length(text)
-    part = lambda c: F.size(F.filter(chars, lambda x: x == c)) / n
-    return F.when(n > 0, F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda s, c: s - part(c) * F.log(part(c)))).otherwise(0.0)
+    weigh = lambda run: F.when(run > 0, run * F.log(run)).otherwise(0.0)
+    start = F.struct(F.lit("").alias("char"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+
+    def count(s: Column, c: Column) -> Column:
+        same = s["char"] == c
+        return F.struct(c.alias("char"), F.when(same, s["run"] + 1.0).otherwise(1.0).alias("run"), (s["sum"] + F.when(same, 0.0).otherwise(weigh(s["run"]))).alias("sum"))
+
+    runs = F.aggregate(F.array_sort(F.split(text, "")), start, count, lambda s: s["sum"] + weigh(s["run"]))
+    return F.when(n > 0, F.log(n) - runs / n).otherwise(0.0)
 
 
 def _digit_part(text: Column) -> Column:
@@ -71,8 +80,8 @@ def lexical(df: DataFrame, url: str) -> DataFrame:
 
 
 def _with_shares(df: DataFrame, stats: dict[str, DataFrame], base: float) -> DataFrame:
-    for key, table in stats.items():  # at most TRAIN_ROWS rows each, by the sample's bound
-        df = df.join(F.broadcast(table), key, "left")
+    for key, table in stats.items():  # plain joins: the tables grow with the labelled URLs, and Spark broadcasts those that are small on disk
+        df = df.join(table, key, "left")
         df = df.withColumn(f"f_{key}_share", (F.coalesce(f"{key}_blocked", F.lit(0)) + PRIOR_WEIGHT * base) / (F.coalesce(f"{key}_n", F.lit(0)) + PRIOR_WEIGHT))
     df = df.withColumn("f_suffix_count", F.log1p(F.coalesce("suffix_n", F.lit(0))))
     return df.withColumns({f: F.col(f).cast("double") for f in FEATURES})
@@ -84,19 +93,22 @@ class UrlModel:
     def __init__(self, labelled: DataFrame, url_col: str, blocked_col: str):
         """`labelled`: URLs and whether each is blocked (1 or 0; null rows are left out).
 
-        Fitted on the TRAIN_ROWS distinct URLs of the smallest hash, a bounded sample that
-        is the same on every run. Suffix statistics are of the same sample."""
-        rows = (labelled.select(F.col(url_col).alias("url"), F.col(blocked_col).cast("double").alias("blocked")).dropna().dropDuplicates(["url"])
-                .orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS))
-        train = stored(lexical(rows, "url").repartition(4), "urls")
-        n, blocked = train.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
+        A URL counts once, as blocked if any of its rows says so. The shares and counts of
+        suffixes, names and endings are those of all labelled URLs; the trees are fitted on the
+        TRAIN_ROWS of the smallest hash, a bounded sample that is the same on every run."""
+        rows = labelled.select(F.col(url_col).alias("url"), F.col(blocked_col).cast("double").alias("blocked")).dropna().groupBy("url").agg(F.max("blocked").alias("blocked"))
+        rows = stored(lexical(rows, "url").select("url", "blocked", *KEYS), "urls")
+        n, blocked = rows.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
         self.n, self.base, self.model = n, blocked / n if n else 0.0, None
         if not 0 < blocked < n:
             return
-        self.stats = {key: stored(train.groupBy(key).agg(F.count("*").alias(f"{key}_n"), F.sum("blocked").alias(f"{key}_blocked")), "suffixes") for key in ("suffix", "name", "ending")}
+        self.stats = {key: stored(rows.groupBy(key).agg(F.count("*").alias(f"{key}_n"), F.sum("blocked").alias(f"{key}_blocked")), f"{key}-shares") for key in KEYS}
+        sample = rows.select("url", "blocked").orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS)
+        train = stored(_with_shares(lexical(sample.repartition(4), "url"), self.stats, self.base).select("blocked", *FEATURES), "url-sample")
+        forget(rows)
         self.assemble = VectorAssembler(inputCols=FEATURES, outputCol="f_all")
         gbt = GBTClassifier(featuresCol="f_all", labelCol="blocked", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7)
-        self.model = gbt.fit(self.assemble.transform(_with_shares(train, self.stats, self.base)))
+        self.model = gbt.fit(self.assemble.transform(train))
 
     def score(self, df: DataFrame) -> DataFrame:
         """Adds `score`, the probability that a URL is blocked, to rows that `lexical` made."""
@@ -113,8 +125,10 @@ def filter_urls(pages: DataFrame, id_col: str, url_col: str, rules=RULES, labell
     fitted on `labelled` (url, blocked 0/1) or, without it, on the URLs that the
     rules judge. A null URL, or one without `://`, has an empty host and path,
     so no rule; repeated rows and null ids stay rows; ties don't arise, as each
-    row is judged alone; an empty table gives an empty result; other columns are
-    ignored. Scoring needs no shuffle."""
+    row is judged alone; very long URLs are read whole, in time that grows little
+    faster than their length; an empty table gives an empty result; other columns
+    are ignored. Scoring needs no shuffle while the statistics are small enough to
+    be broadcast; beyond that it joins them by suffix, name and ending."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     host, path = host_and_path(F.col("url"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)

@@ -1,10 +1,12 @@
+import math
 import random
 import re
+from collections import Counter
 
 import duckdb
 from pyspark.sql import functions as F
 
-from pitlane.llm import queries
+from pitlane.llm import queries, url_filter
 from pitlane.llm.url_filter import RULES, UrlModel, filter_urls, lexical
 
 URLS = ["http://a.org/x", "http://org/", "http://org", "http://morg/x", "HTTP://X.Example.ORG/es/1?q=/de/", "https://example.org/en/12#a", "https://b.example.org/en/2", "x.com/fr/1", "ftp://www.com/fr/", "a://com/de/://x.org/",
@@ -57,3 +59,28 @@ def test_held_out_accuracy(spark):
     held = spark.createDataFrame(rows[500:], "url string, truth double")
     got = UrlModel(df, "url", "blocked").score(lexical(held, "url")).select("truth", "score").collect()
     assert sum((r.score >= 0.5) == (r.truth == 1) for r in got) / len(got) > 0.95
+
+
+def test_statistics_are_of_all_labelled_urls(spark, monkeypatch):
+    """With a fit on 40 URLs, the counts are still those of all 600, a URL of both labels being blocked once."""
+    monkeypatch.setattr(url_filter, "TRAIN_ROWS", 40)
+    rows = [(f"http://h{i}.n{i % 50}.t{i % 3}/{i}{'.html' if i % 2 else ''}", float(i % 3 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows + [(rows[1][0], 1.0), (rows[2][0], 0.0), (None, 1.0), ("http://x.y/", None)], "url string, blocked double")
+    model = UrlModel(df, "url", "blocked")
+    assert model.n == 600 and abs(model.base - 201 / 600) < 1e-12
+    got = {k: {r[k]: (r[f"{k}_n"], r[f"{k}_blocked"]) for r in model.stats[k].collect()} for k in url_filter.KEYS}
+    assert got["suffix"] == {"t0": (200, 200.0), "t1": (200, 1.0), "t2": (200, 0.0)}
+    assert len(got["name"]) == 50 and {n for n, _ in got["name"].values()} == {12}
+    assert {k: n for k, (n, _) in got["ending"].items()} == {".html": 300, "": 300}
+
+
+def test_entropy_and_very_long_urls(spark):
+    rng = random.Random(4)
+    long = "http://a.biz/" + "".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(100_000))
+    texts = ["", "a", "aab", "http://x.org/?a=1", long]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(url_filter._entropy(F.col("t"))).collect()]
+    for t, e in zip(texts, got):
+        shares = [n / len(t) for n in Counter(t).values()]
+        assert abs(e + sum(p * math.log(p) for p in shares)) < 1e-9
+    df = spark.createDataFrame([(1, long), (2, "http://a.org/" + "x" * 300_000)], "page_id long, url string")
+    assert {r.page_id: r.rule for r in filter_urls(df, "page_id", "url").collect()} == {1: None, 2: "org/"}
