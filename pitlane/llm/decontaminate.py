@@ -89,11 +89,13 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFra
     Texts become templates: numbers, names and units are typed placeholders. All
     windows of WINDOW template words of every whole document are joined by hash
     with the items' windows and compared word by word. On each diagonal (place in
-    the document minus place in the item) the placeholders' values must map
-    consistently: one value of the item to one value of the document wherever it
-    recurs. A document holds an item if windows on consistent diagonals cover
-    COVER of its words or RUN words in a row; `changed` tells that some value
-    differs, so the item was re-parameterised. Windows with names are also
+    the document minus place in the item) changed values must map consistently:
+    one value of the item to one value of the document wherever it recurs.
+    Windows with a changed value count unless a value of theirs is mapped to two
+    on the diagonal; windows that keep the item's values, or have no slot, always
+    count. A document holds an item if the windows that count cover COVER of its
+    words, or on one diagonal RUN words in a row; `changed` tells that some value
+    differs in them, so the item was re-parameterised. Windows with names are also
     compared with the names as plain lower-cased words, on both sides, so copies
     in lower case or capitals, or wrapped before a name, are found; where such a
     copy has another name, windows with that name aren't.
@@ -131,12 +133,16 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFra
     same = (F.col("size") == F.col("dsize")) & (equal(canonical) | equal(plain))
     # a name that only one side shows as one is the same word on both
     slots = F.filter(F.zip_with("iw", "dw", lambda a, b: F.struct(a.alias("i"), F.when(plain(a) == b, a).otherwise(b).alias("d"))), lambda s: F.startswith(s["i"], F.lit(_MARK)))
-    hit = hit.select("row", "doc_id", "item", "item_id", "item_words", "size", F.when(same, F.col("ipos")).alias("ipos"), (F.col("at") - F.col("ipos")).alias("diag"), F.when(same, slots).alias("slots"))
+    hit = hit.select("row", "doc_id", "item", "item_id", "item_words", "size", (F.col("at") - F.col("ipos")).alias("diag"), F.when(same, F.struct("ipos", slots.alias("slots"))).alias("window"))
 
     pair = ["row", "doc_id", "item", "item_id", "item_words", "size"]
     # sets per diagonal are no longer than the item
-    diag = hit.groupBy(*pair, "diag").agg(F.array_sort(F.collect_set("ipos")).alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    diag = diag.where(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["i"]))))
+    diag = hit.groupBy(*pair, "diag").agg(F.collect_set("window").alias("ws"))
+    diag = diag.withColumn("values", F.transform(F.array_distinct(F.flatten(F.transform("ws", lambda w: w["slots"]))), lambda s: s["i"]))
+    twice = F.filter(F.array_distinct("values"), lambda i: F.size(F.filter("values", lambda x: x == i)) > 1)
+    diag = diag.withColumn("clash", F.when(F.size("values") != F.size(F.array_distinct("values")), twice).otherwise(F.array().cast("array<string>")))
+    kept = lambda w: F.forall(w["slots"], lambda s: s["i"] == s["d"]) | ~F.exists(w["slots"], lambda s: F.array_contains("clash", s["i"]))
+    diag = diag.withColumn("ws", F.filter("ws", kept)).withColumn("places", F.array_sort(F.array_distinct(F.transform("ws", lambda w: w["ipos"]))))
     # runs of overlapping windows: (end of the run so far, its start, longest)
     start = F.struct(F.lit(-1).alias("end"), F.lit(0).alias("first"), F.lit(0).alias("longest"))
 
@@ -145,8 +151,9 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFra
         return F.struct((p + F.col("size")).alias("end"), first.alias("first"), F.greatest(s["longest"], p + F.col("size") - first).alias("longest"))
 
     diag = diag.withColumn("run", F.aggregate("places", start, grow, lambda s: s["longest"]))
-    diag = diag.withColumn("changed", F.exists("slots", lambda s: s["i"] != s["d"]))
-    whole = diag.groupBy(*pair).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"), F.max("run").alias("run"), F.max("changed").alias("changed"))
+    diag = diag.withColumn("changed", F.exists("ws", lambda w: F.exists(w["slots"], lambda s: s["i"] != s["d"])))
+    # a set of places is no longer than the item, however often a text repeats it
+    whole = diag.select(*pair, "run", "changed", F.explode("places").alias("p")).groupBy(*pair).agg(F.array_sort(F.collect_set("p")).alias("places"), F.max("run").alias("run"), F.max("changed").alias("changed"))
     empty = F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum"))
     covered = F.aggregate("places", empty, lambda s, p: F.struct((p + F.col("size")).alias("end"), (s["sum"] + p + F.col("size") - F.greatest(p, s["end"])).alias("sum")), lambda s: s["sum"])
     out = whole.withColumn("covered", covered).where((F.col("covered") >= F.col("item_words") * COVER) | (F.col("run") >= RUN))

@@ -34,7 +34,8 @@ def test_templates_and_slots(spark, texts):
     names = list(texts)
     df = docs_frame(spark, enumerate(texts.values()))
     got = {(names[r.doc_id], r.item_id): r for r in contaminated(df, "doc_id", "text", items_frame(spark, ITEMS), "item_id", "text").collect()}
-    assert set(got) == {("exact", 0), ("changed", 0), ("short", 1), ("half", 5), ("two", 5), ("two", 1)}
+    # "inconsistent" holds 17 words in a row as they stand beside the value that clashes
+    assert set(got) == {("exact", 0), ("changed", 0), ("inconsistent", 0), ("short", 1), ("half", 5), ("two", 5), ("two", 1)}
     assert {k for k, r in got.items() if r.changed} == {("changed", 0)}
     assert got["exact", 0].covered >= got["exact", 0].item_words - 2
 
@@ -95,3 +96,65 @@ def test_copies_without_the_capitals(spark):
     for a, b in ((item, texts), (item.lower(), texts[:5])):
         got = contaminated(docs_frame(spark, enumerate(b)), "doc_id", "text", items_frame(spark, [a]), "item_id", "text").collect()
         assert {r.doc_id: r.changed for r in got} == {k: k == 5 for k in range(len(b)) if k != 6}
+
+
+def test_values_against_brute_force(spark):
+    """Items full of numbers and units; copies with values kept, changed alike, changed in one place, and cut short."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdeghijnoqrsuwxz") for _ in range(5))
+    value = lambda: str(rng.randrange(2, 7))
+    unit = lambda: rng.choice(["km", "hours", "days"])
+    items, docs = [], []
+    for _ in range(12):
+        items.append(" ".join(f"{word()} {word()} {word()} {word()} {value()} {unit()}" if rng.random() < .6 else " ".join(word() for _ in range(6)) for _ in range(rng.randrange(3, 9))))
+    for k in range(240):
+        w = items[k % 12].split()
+        if k % 4 == 1:
+            new = {v: str(rng.randrange(10, 99)) for v in "23456"}
+            w = [new.get(x, x) for x in w]
+        elif k % 4 >= 2:
+            places = [i for i, x in enumerate(w) if x.isdigit() or x in ("km", "hours", "days")]
+            for i in rng.sample(places, min(len(places), rng.randrange(1, 4))):
+                w[i] = str(rng.randrange(10, 99)) if w[i].isdigit() else unit()
+        if rng.random() < .4:
+            at = rng.randrange(len(w))
+            w = w[at:] + [word() for _ in range(3)] + w[:at]
+        docs.append(" ".join([word(), word(), *w, word()]))
+    templates = lambda texts: [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i long, t string").orderBy("i").select(template_words("t")).collect()]
+    form = lambda w: w[:2] if w[0] == "\x01" else w
+    iw, dw = templates(items), templates(docs)
+    assert any(x.startswith("\x01u") for w in iw for x in w)
+    want = {}
+    for d, b in enumerate(dw):
+        for i, a in enumerate(iw):
+            diags = {}
+            for p in range(len(a) - 7):
+                if sum(x[0] != "\x01" for x in a[p: p + 8]) < 4:
+                    continue
+                for q in range(len(b) - 7):
+                    if list(map(form, a[p: p + 8])) == list(map(form, b[q: q + 8])):
+                        diags.setdefault(q - p, []).append((p, [(x, y) for x, y in zip(a[p: p + 8], b[q: q + 8]) if x[0] == "\x01"]))
+            covered, run, changed = set(), 0, False
+            for windows in diags.values():
+                to = {}
+                for _, slots in windows:
+                    for x, y in slots:
+                        to.setdefault(x, set()).add(y)
+                good = [(p, slots) for p, slots in windows if all(x == y for x, y in slots) or all(len(to[x]) == 1 for x, _ in slots)]
+                own = {p + j for p, _ in good for j in range(8)}
+                covered |= own
+                changed |= any(x != y for _, slots in good for x, y in slots)
+                starts, first, end = sorted(p for p, _ in good), 0, -1
+                for p in starts:
+                    first = first if p <= end else p
+                    end = p + 8
+                    run = max(run, end - first)
+            if len(covered) >= len(a) / 2 or run >= 13:
+                want[d, i] = (len(covered), run, changed)
+    got = {(r.doc_id, r.item_id): (r.covered, r.run, r.changed) for r in contaminated(docs_frame(spark, enumerate(docs)), "doc_id", "text", items_frame(spark, items), "item_id", "text").collect()}
+    assert got == want and len({d for d, _ in got if d % 4 >= 2}) > 60 and any(c for *_, c in got.values())
+
+
+def test_a_text_that_repeats_an_item(spark):
+    got = contaminated(docs_frame(spark, [(1, "\n".join([ITEMS[0]] * 3_000))]), "doc_id", "text", items_frame(spark, ITEMS), "item_id", "text").collect()
+    assert [(r.doc_id, r.item_id, r.changed) for r in got] == [(1, 0, False)]
