@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,6 +23,11 @@ HALVINGS = 60
 MOST_SOURCES = 100_000
 
 
+def block_place(source: Column, turn: Column, block: Column) -> Column:
+    """A block's place in the order of one pass over a source; each pass of each source has an order of its own."""
+    return F.xxhash64(source, turn.cast("long"), block.cast("long"))
+
+
 @dataclass
 class Mixture:
     exponent: float
@@ -89,10 +94,10 @@ def with_tokens(docs: DataFrame, text_col: str, name: str = "_tokens") -> DataFr
 def realise(docs: DataFrame, id_col: str, source_col: str, text_col: str, target_entropy: float | None = None, most_passes: float = MOST_PASSES) -> tuple[DataFrame, Mixture]:
     """`docs` plus `mix_tokens`, `mix_block`, `mix_order` and `copies`, and the mixture.
 
-    Each source is cut into blocks by the hash of the id, and its blocks are put
-    in an order by hash (`mix_order`). Its passes are whole ones, of all its
-    blocks, and a last one over the first blocks of the order that fit what is
-    left of its token budget; of the block on the border the first documents (by
+    Each source is cut into blocks by the hash of the id, and for each pass its
+    blocks are put in an order by hash of source, pass and block. Its passes are
+    whole ones, of all its blocks, and a last one over the first blocks of its
+    order (`mix_order`) that fit what is left of its token budget; of the block on the border the first documents (by
     hash) that fit are taken. `copies` is how often a document is read. So every
     document is read once at least, and a source's tokens fall short of its
     budget by less than one document.
@@ -122,9 +127,9 @@ def realise(docs: DataFrame, id_col: str, source_col: str, text_col: str, target
         plan[r.src] = [max(1, r.docs // BLOCK_DOCS), whole, max(0, math.floor((often - whole) * r.t + 1e-6))]
 
     # the border block of each source: the last that the budget reaches into
-    at = F.broadcast(spark.createDataFrame([(s, b, rest) for s, (b, _, rest) in plan.items()], f"p_src {src}, blocks long, rest long"))
+    at = F.broadcast(spark.createDataFrame([(s, b, whole, rest) for s, (b, whole, rest) in plan.items()], f"p_src {src}, blocks long, whole int, rest long"))
     dealt = narrow.join(at, F.col("src").eqNullSafe(F.col("p_src"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    blocks = dealt.groupBy("src", "block", "rest").agg(F.sum("t").alias("t")).withColumn("order", F.xxhash64("block", F.lit(1)))
+    blocks = dealt.groupBy("src", "block", "whole", "rest").agg(F.sum("t").alias("t")).withColumn("order", block_place(F.col("src"), F.col("whole") + 1, F.col("block")))
     along = W.partitionBy("src").orderBy("order", "block")
     blocks = blocks.withColumn("before", F.sum("t").over(along) - F.col("t")).where((F.col("t") > 0) & (F.col("before") < F.col("rest")))
     border = blocks.groupBy("src").agg(F.max(F.struct("before", "order", "block", "rest")).alias("b")).select("src", "b.*").collect()
@@ -141,7 +146,7 @@ def realise(docs: DataFrame, id_col: str, source_col: str, text_col: str, target
     decide = [(s, b, whole, *edges.get(s, none), s in last) for s, (b, whole, _) in plan.items()]
     decide = spark.createDataFrame(decide, f"p_src {src}, p_blocks long, p_whole int, p_order long, p_block long, p_hash long, p_id {ident}, p_some boolean")
     out = rows.join(F.broadcast(decide), F.col(source_col).eqNullSafe(F.col("p_src")))
-    out = out.withColumn("mix_block", F.pmod(F.xxhash64(id_col), F.col("p_blocks"))).withColumn("mix_order", F.xxhash64("mix_block", F.lit(1)))
+    out = out.withColumn("mix_block", F.pmod(F.xxhash64(id_col), F.col("p_blocks"))).withColumn("mix_order", block_place(F.col(source_col), F.col("p_whole") + 1, F.col("mix_block")))
     place, border = F.struct("mix_order", "mix_block"), F.struct("p_order", "p_block")
     first = F.struct(F.xxhash64(id_col, F.lit(2)).alias("p_hash"), F.col(id_col).alias("p_id")) <= F.struct("p_hash", "p_id")
     more = F.col("p_order").isNotNull() & (F.col("mix_tokens") > 0) & ((place < border) | ((place == border) & F.col("p_some") & first))
@@ -150,6 +155,6 @@ def realise(docs: DataFrame, id_col: str, source_col: str, text_col: str, target
 
 
 def schedule(realised: DataFrame, id_col: str, source_col: str) -> DataFrame:
-    """One row for each reading: (doc_id, source, pass, block, place, n_tokens); `place` orders a source's blocks within a pass."""
+    """One row for each reading: (doc_id, source, pass, block, place, n_tokens); `place` orders a source's blocks within a pass, anew for each."""
     every = realised.withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return every.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col("pass"), F.col("mix_block").alias("block"), F.col("mix_order").alias("place"), F.col("mix_tokens").alias("n_tokens"))
+    return every.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col("pass"), F.col("mix_block").alias("block"), block_place(F.col(source_col), F.col("pass"), F.col("mix_block")).alias("place"), F.col("mix_tokens").alias("n_tokens"))

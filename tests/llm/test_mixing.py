@@ -90,3 +90,23 @@ def test_query_on_whole_table(spark):
         read[r.source] = read.get(r.source, 0) + r.n_tokens
     total = sum(read.values())
     assert max(abs(read[s] / total - w) for s, w in mix.weights.items()) < 0.01
+
+
+def test_each_pass_has_its_own_order(spark, monkeypatch):
+    """Whole passes are permutations of all blocks, all different; the last pass reads the first blocks of its own."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 5)
+    docs = spark.createDataFrame([(i, "a b c d", "big" if i % 10 else ("x" if i % 20 else None)) for i in range(2_000)], "doc_id long, text string, source string")
+    realised, mix = realise(docs, "doc_id", "source", "text", target_entropy=9, most_passes=3.5)
+    orders, copies = {}, {}
+    for r in realised.collect():
+        copies.setdefault((r.source, r.mix_block), set()).add(r.copies)
+    for r in schedule(realised, "doc_id", "source").collect():
+        orders.setdefault((r.source, r["pass"]), {}).setdefault(r.block, r.place)
+    ranks = {k: sorted(v, key=v.get) for k, v in orders.items()}
+    assert {s for s, _ in ranks} == {"big", "x", None} and abs(mix.passes["x"] - 3.5) < 1e-6
+    for s in ("x", None):
+        full = [ranks[s, p] for p in (1, 2, 3)]
+        assert all(sorted(f) == sorted(full[0]) for f in full) and len({tuple(f) for f in full}) == 3
+        last = {b for b in full[0] if max(copies[s, b]) == 4}
+        assert set(ranks[s, 4]) == last and 0 < len(last) < len(full[0])
+    assert ranks["x", 1] != [b for b in ranks[None, 1] if b in ranks["x", 1]]
