@@ -53,8 +53,8 @@ def asof_last_before(
     value struct wins, so the answer is deterministic).  Strict `<` unless
     `inclusive`.  Requests without a prior event get NULLs.
 
-    Plan: distinct (entity, time) on both sides -> one fill window over their
-    union -> equi join back.  For DATE times the keys per entity are bounded
+    Plan: one row for each (entity, time) of either side, by one aggregate over
+    their union -> one fill window -> equi join back.  For DATE times the keys per entity are bounded
     by the calendar.  For finer times (`bucket='auto'` on a timestamp, or an
     explicit bucket such as 'day' / 'hour') the fill window is partitioned by
     (entity, time bucket), and the last event of all earlier buckets is
@@ -62,38 +62,31 @@ def asof_last_before(
     bucket), so a hot entity is spread over its buckets."""
     ent = _cols(entity)
     vals = list(values)
-    ev = events.select(*[F.col(c) for c in ent], F.col(evt_time).alias("_t"), *[F.col(v) for v in vals])
-    if vals:
-        ev = ev.groupBy(*ent, "_t").agg(F.max(F.struct(*[F.col(v) for v in vals])).alias("_v"))
-    else:
-        ev = ev.select(*ent, "_t").distinct()
-    ev = ev.withColumn("_payload", F.struct(F.col("_t").alias("_t"), *([F.col("_v")] if vals else [])))
-    # events sort after requests at the same time for strict '<', before for '<='
-    ev_kind = 0 if inclusive else 1
-    ev = ev.select(*ent, "_t", F.lit(ev_kind).alias("_k"), "_payload")
-    req_keys = requests.select(*[F.col(c) for c in ent], F.col(req_time).alias("_t")).distinct()
-    req_keys = req_keys.select(*ent, "_t", F.lit(1 - ev_kind).alias("_k"),
-                               F.lit(None).cast(ev.schema["_payload"].dataType).alias("_payload"))
-    both = ev.unionByName(req_keys)
+    # one row for each (entity, time) of either side: whether events or requests have it, and the events' values
+    val = F.struct(*[F.col(v) for v in vals]) if vals else F.lit(None).cast("boolean")
+    ev = events.select(*[F.col(c) for c in ent], F.col(evt_time).alias("_t"), F.lit(True).alias("_e"), F.lit(False).alias("_r"), val.alias("_v"))
+    rq = requests.select(*[F.col(c) for c in ent], F.col(req_time).alias("_t"), F.lit(False).alias("_e"), F.lit(True).alias("_r"),
+                         F.lit(None).cast(ev.schema["_v"].dataType).alias("_v"))
+    keys = ev.unionByName(rq).groupBy(*ent, "_t").agg(F.max("_e").alias("_e"), F.max("_r").alias("_r"), *([F.max("_v").alias("_v")] if vals else []))
+    payload = F.struct(F.col("_t").cast(ev.schema["_t"].dataType).alias("_t"), *([F.col("_v")] if vals else []))
+    keys = keys.select(*ent, "_t", "_e", "_r", F.when(F.col("_e"), payload).alias("_payload"))
+    upto = Window.currentRow if inclusive else -1
 
     if bucket == "auto":
         bucket = None if dict(requests.dtypes)[req_time] == "date" else "day"
     if bucket is None:
-        w = Window.partitionBy(*ent).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        filled = both.withColumn("_last", F.last("_payload", ignorenulls=True).over(w))
+        w = Window.partitionBy(*ent).orderBy("_t").rowsBetween(Window.unboundedPreceding, upto)
+        filled = keys.withColumn("_last", F.last("_payload", ignorenulls=True).over(w))
     else:
-        both = both.withColumn("_bk", F.date_trunc(bucket, F.col("_t")))
-        wb = Window.partitionBy(*ent, "_bk").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        inner = both.withColumn("_in", F.last("_payload", ignorenulls=True).over(wb))
+        keys = keys.withColumn("_bk", F.date_trunc(bucket, F.col("_t")))
+        wb = Window.partitionBy(*ent, "_bk").orderBy("_t").rowsBetween(Window.unboundedPreceding, upto)
+        inner = keys.withColumn("_in", F.last("_payload", ignorenulls=True).over(wb))
         # last event of each bucket, carried to later buckets (rows per entity = buckets)
-        per_b = ev.withColumn("_bk", F.date_trunc(bucket, F.col("_t"))).groupBy(*ent, "_bk").agg(
-            F.max_by("_payload", "_t").alias("_blast"))
-        keys_b = both.select(*ent, "_bk").distinct()
+        per_b = keys.groupBy(*ent, "_bk").agg(F.max_by("_payload", F.when(F.col("_e"), F.col("_t"))).alias("_blast"))
         wc = Window.partitionBy(*ent).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = keys_b.join(per_b, [*ent, "_bk"], "left").select(
-            *ent, "_bk", F.last("_blast", ignorenulls=True).over(wc).alias("_carry"))
+        carry = per_b.select(*ent, "_bk", F.last("_blast", ignorenulls=True).over(wc).alias("_carry"))
         filled = inner.join(carry, [*ent, "_bk"], "left").withColumn("_last", F.coalesce("_in", "_carry"))
-    filled = (filled.where(F.col("_k") == (1 - ev_kind))
+    filled = (filled.where("_r")
               .select(*ent, F.col("_t").alias("_rt"), F.col("_last._t").alias(out_time),
                       *[F.col(f"_last._v.{v}").alias(v) for v in vals]))
     cond = [requests[c].eqNullSafe(filled[c]) for c in ent] + [requests[req_time] == filled["_rt"]]

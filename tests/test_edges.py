@@ -527,3 +527,19 @@ def test_or_key_join_of_one_date(spark):
     right = spark.createDataFrame([(9, 1, 2, "d1"), (8, 2, 1, "d2"), (7, 1, 1, "d1")], "g int, h int, a int, d string")
     got = or_key_join(left, right, "t", ["h", "a"], ["n", "g"], where=F.col("d") == "d1")
     assert sorted(tuple(r) for r in got.collect()) == [("p", 7), ("p", 9), ("q", 9)]
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_asof_has_one_row_for_each_time(spark, inclusive):
+    """Both sides go through one aggregate, so an entity's window holds a time once; null entities, null times and repeated rows as ever."""
+    ev = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 3, None), (None, 2, "n"), (1, None, "z"), (2, 5, "q")], "e int, t int, v string")
+    rq = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (1, 3), (1, 4), (None, 2), (None, 3), (1, None), (2, 1), (3, 1)], "e int, t int")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("t"))
+    ev, rq = ev.withColumn("t", day), rq.withColumn("t", day)
+    out = pit.asof_last_before(rq, ev, "e", "t", "t", values=["v"], out_time="lt", inclusive=inclusive)
+    assert out._jdf.queryExecution().executedPlan().toString().count("HashAggregate") + out._jdf.queryExecution().executedPlan().toString().count("SortAggregate") == 2
+    got = sorted((r.e or 0, r.t.day - 1 if r.t else 0, r.lt.day - 1 if r.lt else None, r.v) for r in out.collect())
+    first = (1, 1, 1, "b") if inclusive else (1, 1, None, "z")
+    third = (1, 3, 3, None) if inclusive else (1, 3, 1, "b")
+    null2 = (0, 2, 2, "n") if inclusive else (0, 2, None, None)
+    assert got == sorted([first, (1, 2, 1, "b"), (1, 2, 1, "b"), third, (1, 4, 3, None), null2, (0, 3, 2, "n"), (1, 0, None, None), (2, 1, None, None), (3, 1, None, None)], key=lambda r: r[:2])
