@@ -42,6 +42,20 @@ def balanced_weights(df: DataFrame, label: str, out: str = "_w") -> DataFrame:
     return df.join(w, label, "left")
 
 
+#: Rows of a task that trees are counted in; a training table of fewer rows stays as it lies.
+TREE_ROWS = 1 << 15
+
+
+def _evenly(df: DataFrame) -> DataFrame:
+    """Training rows dealt evenly over tasks of about TREE_ROWS rows, one for each core at least.
+
+    Counting trees costs a task as many steps as it has rows and trees, and rows that come from a join lie by
+    its key: a few keys make a few tasks, of which the largest is waited for at every level. A forest draws its
+    bags by partition, so above TREE_ROWS rows its draws are those of this layout."""
+    n = df.count()
+    return df if n <= TREE_ROWS else df.repartition(max(-(-n // TREE_ROWS), df.sparkSession.sparkContext.defaultParallelism))
+
+
 def _cast_double(df, cols):
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -81,7 +95,7 @@ def fit_random_forest(train: DataFrame, features: Sequence[str], label: str, cla
     if balanced:
         kw["weightCol"] = "_w"
     est = RandomForestClassifier(**kw) if classifier else RandomForestRegressor(**kw)
-    return Pipeline(stages=_prep(features, scale=False) + [est]).fit(d)
+    return Pipeline(stages=_prep(features, scale=False) + [est]).fit(_evenly(d))
 
 
 def p_positive(pred: DataFrame, out: str = "p") -> DataFrame:
