@@ -543,3 +543,17 @@ def test_asof_has_one_row_for_each_time(spark, inclusive):
     third = (1, 3, 3, None) if inclusive else (1, 3, 1, "b")
     null2 = (0, 2, 2, "n") if inclusive else (0, 2, None, None)
     assert got == sorted([first, (1, 2, 1, "b"), (1, 2, 1, "b"), third, (1, 4, 3, None), null2, (0, 3, 2, "n"), (1, 0, None, None), (2, 1, None, None), (3, 1, None, None)], key=lambda r: r[:2])
+
+
+def test_or_key_join_result_is_small(spark, tmp_path):
+    """Every player meets every game of its team: the rows are many, their bytes in a columnar file few."""
+    players = spark.range(400).select((F.col("id") % 2).cast("int").alias("team"), F.col("id").alias("player"), F.concat(F.lit("p#"), F.xxhash64("id")).alias("name"))
+    players = players.union(spark.createDataFrame([(None, -1, "n")], players.schema))
+    games = spark.range(4_000).select(F.when(F.col("id") % 50 != 0, F.lit(0)).alias("home"), F.when(F.col("id") % 3 != 0, F.lit(1)).otherwise(0).alias("away"), F.concat(F.lit("g"), F.xxhash64("id")).alias("game"))
+    out = J.or_key_join(players, games.union(games), "team", ["home", "away"])
+    out.coalesce(1).write.parquet(path := str(tmp_path / "out"))
+    both = spark.read.parquet(path)
+    want = games.selectExpr("sum(int(coalesce(home = 0, false) OR away = 0) + int(away = 1))").first()[0] * 200
+    assert both.count() == both.distinct().count() == want
+    assert both.where("team NOT IN (home, away)").count() == 0 and both.where("home IS NULL").count() > 0
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < want
