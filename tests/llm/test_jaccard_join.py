@@ -180,3 +180,37 @@ def test_sets_that_leave_no_room_are_not_paired(spark, monkeypatch):
     got = result(jaccard_groups(docs_frame(spark, docs), "doc_id", "text"))
     assert got == brute(docs) and len({c for _, c in got.values()}) == len(docs)
     assert regions == [0]
+
+
+def linked(docs):
+    """{doc: how many others it is linked with}, by all pairs."""
+    sets = {i: shingles(t) for i, t in docs}
+    fits = lambda a, b: a and b and 100 * len(a & b) >= 75 * len(a | b)
+    return {i: sum(1 for j in sets if j != i and fits(sets[i], sets[j])) for i in sets}
+
+
+def links(df):
+    return {r.doc_id: r.n_links for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed,whole,part", [(1, 32, 1 << 10), (3, 2, 2), (5, 3, 4)])
+def test_all_links_are_counted(spark, monkeypatch, seed, whole, part):
+    """Also those inside a group that other links hold together, whether a region is split, compared whole or cut into parts."""
+    monkeypatch.setattr(jaccard_join, "WHOLE", whole)
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    docs = families(seed) + [(1000 + i, t) for i, t in changed(2, 40)]
+    got = jaccard_groups(docs_frame(spark, docs), "doc_id", "text")
+    assert links(got) == linked(docs) and result(got) == brute(docs)
+
+
+def test_values_in_common(monkeypatch):
+    """Counted by matrices and by pairs of rows alike."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for n, kinds, cells in [(3, 5, 1 << 22), (120, 30, 256), (150, 2000, 1 << 22), (40, 1, 64), (2, 0, 64)]:
+        monkeypatch.setattr(jaccard_join, "MATRIX", cells)
+        sets = [set(rng.integers(0, kinds, rng.integers(0, 40)).tolist()) if kinds else set() for _ in range(n)]
+        rows = np.array([i for i, s in enumerate(sets) for _ in s], np.int64)
+        values = np.array([v for s in sets for v in s], np.int64)
+        got = jaccard_join._common(rows, values, n)
+        assert all(got[i, j] == len(sets[i] & sets[j]) for i in range(n) for j in range(n) if i != j)
