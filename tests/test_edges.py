@@ -557,3 +557,12 @@ def test_or_key_join_result_is_small(spark, tmp_path):
     assert both.count() == both.distinct().count() == want
     assert both.where("team NOT IN (home, away)").count() == 0 and both.where("home IS NULL").count() > 0
     assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < want
+
+
+def test_or_key_join_unfolds_lists_in_many_tasks(spark, tmp_path):
+    """A few KB of lists give hundreds of thousands of rows: no task unfolds most of them."""
+    spark.range(400).select((F.col("id") % 4).cast("int").alias("team"), F.col("id").alias("player")).write.parquet(a := str(tmp_path / "players"))
+    spark.range(20_000).select((F.col("id") % 4).cast("int").alias("home"), ((F.col("id") + 1) % 4).cast("int").alias("away"), F.col("id").alias("game")).write.parquet(b := str(tmp_path / "games"))
+    out = J.or_key_join(spark.read.parquet(a), spark.read.parquet(b), "team", ["home", "away"])
+    by_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(by_task) == 100 * 40_000 and max(by_task) < sum(by_task) / 8
